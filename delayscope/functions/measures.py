@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from delayscope.functions.casting import as_column
 from delayscope.functions.rounding import binary_round
 
-BANDS = ["le_0", "gt_0_lt_15", "ge_15"]
+# On time or early, slightly late, officially late.
+BANDS = {
+    "le_0": lambda delay: delay <= 0,
+    "gt_0_lt_15": lambda delay: (delay > 0) & (delay < 15),
+    "ge_15": lambda delay: delay >= 15,
+}
 
 
 def cause_total(columns: Iterable[Column | str]) -> Column:
@@ -29,9 +34,8 @@ def any_null(columns: Iterable[Column | str]) -> Column:
 
 
 def delay_band(delay: Column | str) -> Column:
-    """On time or early, slightly late, officially late; NULL for an unknown delay."""
-    value = as_column(delay)
-    return F.when(value <= 0, BANDS[0]).when(value < 15, BANDS[1]).when(value >= 15, BANDS[2])
+    """Name of the band a delay falls into; NULL for an unknown delay."""
+    return F.coalesce(*(F.when(inside(as_column(delay)), name) for name, inside in BANDS.items()))
 
 
 def percent(part: Column | str, whole: Column | str) -> Column:

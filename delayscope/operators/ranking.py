@@ -9,17 +9,38 @@ from pyspark.sql import functions as F
 
 
 def first_k(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], k: int,
-            position: str = "position") -> DataFrame:
+            position: str = "position", leading: Sequence[str] = ()) -> DataFrame:
     """The first k rows of each group with their 1-based position.
 
     A row-number test against a literal lets the optimizer cut every task's output to k
     rows per group before the shuffle, so the final task of a hot group sorts k rows per
     task instead of the group.
+
+    Every task still sorts its rows. Where most rows qualify, name the ``leading`` order
+    columns (ascending, NULLs first): rows are counted by them first, and only those up
+    to the value that completes the first k are looked at again. This form is for a
+    handful of non-NULL groups: one cut-off row per group is broadcast.
     """
+    if leading:
+        df = _up_to_kth(df, keys, leading, k)
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(position, F.row_number().over(window)).where(F.col(position) <= k)
 
 
+def _up_to_kth(df: DataFrame, keys: Sequence[str], leading: Sequence[str], k: int) -> DataFrame:
+    spot = F.struct(*leading)
+    before = Window.partitionBy(*keys).orderBy("_spot").rowsBetween(Window.unboundedPreceding, -1)
+    last = (
+        df.groupBy(*keys, spot.alias("_spot"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .where(F.col("_before") < k)
+        .groupBy(*keys)
+        .agg(F.max("_spot").alias("_last"))
+    )
+    return df.join(F.broadcast(last), list(keys)).where(spot <= F.col("_last")).drop("_last")
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], coarse: Sequence[Column], fine: Sequence[str | Column],
                 position: str = "position") -> DataFrame:
     """1-based position of every row of a group, in the order (coarse..., fine...).
