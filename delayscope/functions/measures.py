@@ -49,7 +49,11 @@ def share_percent(part: Column | str, total: Column | str, digits: int = 4) -> C
 
 
 def close_to(left: Column, right: Column, relative: float = 0.0, absolute: float = 0.0) -> Column:
-    """|left - right| <= max(relative * larger magnitude, absolute); equal infinities are close."""
+    """|left - right| <= max(relative * larger magnitude, absolute).
+
+    An infinity is close to itself only, NaN to nothing.
+    """
     bound = F.greatest(F.lit(relative) * F.greatest(F.abs(left), F.abs(right)), F.lit(absolute))
-    finite = F.abs(left) != F.lit(float("inf"))
-    return (~F.isnan(left) & (left == right)) | (finite & (F.abs(left - right) <= bound))
+    apart = F.abs(left - right)
+    near = (apart < F.lit(float("inf"))) & (apart <= bound)
+    return ~F.isnan(left) & ~F.isnan(right) & ((left == right) | near)
