@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from delayscope.schema import CAUSES, FLAGS, PROCESSED_COLUMNS
 
@@ -14,8 +13,8 @@ def clean_flights(raw: DataFrame) -> DataFrame:
     Delays stay as they are, negative or NULL. One narrow projection over one filter,
     so both reach the scan.
     """
-    changed = {flag: F.col(flag).try_cast("int") for flag in FLAGS}
-    changed |= {cause: F.coalesce(F.col(cause), F.lit(0.0)) for cause in CAUSES}
-    return raw.where(F.col("OP_UNIQUE_CARRIER").isNotNull()).select(
-        *(changed[name].alias(name) if name in changed else F.col(name) for name in PROCESSED_COLUMNS)
+    changed = {flag: f"try_cast({flag} AS int) AS {flag}" for flag in FLAGS}
+    changed |= {cause: f"coalesce({cause}, 0.0D) AS {cause}" for cause in CAUSES}
+    return raw.where("OP_UNIQUE_CARRIER IS NOT NULL").selectExpr(
+        *(changed.get(name, name) for name in PROCESSED_COLUMNS)
     )

@@ -10,14 +10,11 @@ from those. Only the duplicate audit has to shuffle records.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from operator import add, and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delayscope.functions import all_null, bad_minutes, cause_total, percent
-from delayscope.functions.measures import BANDS
+from delayscope.functions import all_null, percent
 from delayscope.operators.ranking import first_k
 from delayscope.schema import CAUSES, FLAGS, FLIGHT_KEY
 
@@ -28,70 +25,64 @@ GAP = "_gap"
 CLOCK_FAULTS = ["null", "negative", "above_2400", "bad_minutes"]
 
 
-def bad_clock(clock: Column) -> Column:
-    """NULL, negative, past 2400, or with impossible minutes."""
-    return clock.isNull() | (clock < 0) | (clock > 2400) | bad_minutes(clock)
+_TOTAL = " + ".join(CAUSES)
+_GAP = f"({_TOTAL} - ARR_DELAY)"
+_ALL_NULL = "(" + " AND ".join(f"{cause} IS NULL" for cause in CAUSES) + ")"
+_BAD_CLOCK = (
+    "(CRS_DEP_TIME IS NULL OR CRS_DEP_TIME < 0 OR CRS_DEP_TIME > 2400 OR pmod(CRS_DEP_TIME, 100) >= 60)"
+)
+_BANDS = {"le_0": "{0} <= 0", "gt_0_lt_15": "({0} > 0 AND {0} < 15)", "ge_15": "{0} >= 15"}
 
 
-def _cause_gap() -> Column:
-    """Cause minutes beyond the arrival delay; NULL unless all of them are known."""
-    return cause_total(CAUSES) - F.col("ARR_DELAY")
-
-
-def questions() -> dict[str, Column]:
-    """Every yes/no question about a record that some counter asks."""
+def questions() -> dict[str, str]:
+    """Every yes/no question about a record that some counter asks, as a SQL condition."""
     asked = {}
     for flag in FLAGS:
-        value, name = F.col(flag), flag.lower()
+        name = flag.lower()
         asked |= {
-            f"{name}_0": value == 0,
-            f"{name}_1": value == 1,
-            f"{name}_null": value.isNull(),
-            f"{name}_other": ~value.isin(0, 1),
+            f"{name}_0": f"{flag} = 0",
+            f"{name}_1": f"{flag} = 1",
+            f"{name}_null": f"{flag} IS NULL",
+            f"{name}_other": f"{flag} NOT IN (0, 1)",
         }
     for delay in DELAYS:
-        value, name = F.col(delay), delay.lower()
-        asked |= {f"{name}_null": value.isNull(), f"{name}_negative": value < 0}
-        asked |= {f"{name}_{band}": inside(value) for band, inside in BANDS.items()}
+        name = delay.lower()
+        asked |= {f"{name}_null": f"{delay} IS NULL", f"{name}_negative": f"{delay} < 0"}
+        asked |= {f"{name}_{band}": test.format(delay) for band, test in _BANDS.items()}
     for cause in CAUSES:
-        asked |= {f"{cause.lower()}_null": F.col(cause).isNull(), f"{cause.lower()}_negative": F.col(cause) < 0}
-    gap = _cause_gap()
-    asked |= {
-        "causes_equal": F.abs(gap) <= SUM_TOLERANCE,
-        "causes_less": gap < -SUM_TOLERANCE,
-        "causes_greater": gap > SUM_TOLERANCE,
+        asked |= {f"{cause.lower()}_null": f"{cause} IS NULL", f"{cause.lower()}_negative": f"{cause} < 0"}
+    return asked | {
+        "causes_equal": f"abs({_GAP}) <= {SUM_TOLERANCE}D",
+        "causes_less": f"{_GAP} < -{SUM_TOLERANCE}D",
+        "causes_greater": f"{_GAP} > {SUM_TOLERANCE}D",
+        "crs_null": "CRS_DEP_TIME IS NULL",
+        "crs_negative": "CRS_DEP_TIME < 0",
+        "crs_above_2400": "CRS_DEP_TIME > 2400",
+        "crs_bad_minutes": "pmod(CRS_DEP_TIME, 100) >= 60",
     }
-    clock = F.col("CRS_DEP_TIME")
-    asked |= {
-        "crs_null": clock.isNull(),
-        "crs_negative": clock < 0,
-        "crs_above_2400": clock > 2400,
-        "crs_bad_minutes": bad_minutes(clock),
-    }
-    return asked
 
 
 class Records:
     """Counters over the records themselves."""
 
     def __init__(self, raw: DataFrame):
-        self.frame = raw.withColumn(GAP, F.abs(_cause_gap()))
+        self.frame = raw.selectExpr("*", f"abs({_GAP}) AS {GAP}")
         self._asked = questions()
 
-    def holds(self, question: str) -> Column:
-        return self._asked[question]
+    def holds(self, question: str) -> str:
+        return f"coalesce({self._asked[question]}, false)"
 
-    def count(self, test: Column | None = None) -> Column:
-        return F.count(F.lit(1)) if test is None else F.count_if(test)
+    def count(self, test: str = "true") -> str:
+        return f"count_if({test})"
 
-    def total(self, test: Column, column: str) -> Column:
-        return F.sum(F.when(test, F.col(column)))
+    def total(self, test: str, column: str) -> str:
+        return f"sum({column}) FILTER (WHERE {test})"
 
-    def largest(self, column: str, test: Column | None = None) -> Column:
-        return F.max(column) if test is None else F.max(F.when(test, F.col(column)))
+    def largest(self, column: str, test: str = "true") -> str:
+        return f"max({column}) FILTER (WHERE {test})"
 
-    def smallest(self, column: str) -> Column:
-        return F.min(column)
+    def smallest(self, column: str) -> str:
+        return f"min({column})"
 
 
 class AnswerCounts:
@@ -100,12 +91,12 @@ class AnswerCounts:
     def __init__(self, raw: DataFrame):
         asked = questions()
         self._bit = {name: 1 << place for place, name in enumerate(asked)}
-        packed = reduce(
-            add, (F.when(test, F.lit(self._bit[name])).otherwise(F.lit(0)).cast("long") for name, test in asked.items())
-        )
+        packed = " + ".join(f"if({test}, {self._bit[name]}L, 0L)" for name, test in asked.items())
         measured = [*DELAYS, GAP]
         self.frame = (
-            raw.select(packed.alias("_answers"), *DELAYS, F.when(F.abs(_cause_gap()) > SUM_TOLERANCE, F.abs(_cause_gap())).alias(GAP))
+            raw.selectExpr(
+                f"{packed} AS _answers", *DELAYS, f"if(abs({_GAP}) > {SUM_TOLERANCE}D, abs({_GAP}), null) AS {GAP}"
+            )
             .groupBy("_answers")
             .agg(
                 F.count(F.lit(1)).alias("_n"),
@@ -115,49 +106,48 @@ class AnswerCounts:
             )
         )
 
-    def holds(self, question: str) -> Column:
-        return F.col("_answers").bitwiseAND(F.lit(self._bit[question])) != 0
+    def holds(self, question: str) -> str:
+        return f"(_answers & {self._bit[question]}L) <> 0"
 
-    def count(self, test: Column | None = None) -> Column:
-        counted = F.col("_n") if test is None else F.when(test, F.col("_n"))
-        return F.coalesce(F.sum(counted), F.lit(0))
+    def count(self, test: str = "true") -> str:
+        return f"coalesce(sum(_n) FILTER (WHERE {test}), 0)"
 
-    def total(self, test: Column, column: str) -> Column:
-        return F.sum(F.when(test, F.col(f"{column}_sum")))
+    def total(self, test: str, column: str) -> str:
+        return f"sum({column}_sum) FILTER (WHERE {test})"
 
-    def largest(self, column: str, test: Column | None = None) -> Column:
-        values = F.col(f"{column}_max")
-        return F.max(values if test is None else F.when(test, values))
+    def largest(self, column: str, test: str = "true") -> str:
+        return f"max({column}_max) FILTER (WHERE {test})"
 
-    def smallest(self, column: str) -> Column:
-        return F.min(f"{column}_min")
+    def smallest(self, column: str) -> str:
+        return f"min({column}_min)"
 
 
 Counted = Records | AnswerCounts
+Counters = dict[str, str]
 
 
-def _all_null(over: Counted) -> Column:
-    return reduce(and_, (over.holds(f"{cause.lower()}_null") for cause in CAUSES))
+def _all_null(over: Counted) -> str:
+    return "(" + " AND ".join(over.holds(f"{cause.lower()}_null") for cause in CAUSES) + ")"
 
 
-def _any_null(over: Counted) -> Column:
-    return reduce(or_, (over.holds(f"{cause.lower()}_null") for cause in CAUSES))
+def _any_null(over: Counted) -> str:
+    return "(" + " OR ".join(over.holds(f"{cause.lower()}_null") for cause in CAUSES) + ")"
 
 
-def status_counters(over: Counted) -> dict[str, Column]:
+def status_counters(over: Counted) -> Counters:
     names = [f"{flag.lower()}_{kind}" for flag in FLAGS for kind in ("0", "1", "null", "other")]
-    both = over.holds("cancelled_1") & over.holds("diverted_1")
+    both = f"{over.holds('cancelled_1')} AND {over.holds('diverted_1')}"
     return {name: over.count(over.holds(name)) for name in names} | {"cancelled_and_diverted": over.count(both)}
 
 
-def delay_counters(over: Counted) -> dict[str, Column]:
+def delay_counters(over: Counted) -> Counters:
     flown = over.holds("cancelled_0")
-    eligible = {"DEP_DELAY": flown, "ARR_DELAY": flown & over.holds("diverted_0")}
+    eligible = {"DEP_DELAY": flown, "ARR_DELAY": f"{flown} AND {over.holds('diverted_0')}"}
     counters = {}
     for delay in DELAYS:
         name = delay.lower()
         counters |= {
-            f"{name}_null_eligible": over.count(eligible[delay] & over.holds(f"{name}_null")),
+            f"{name}_null_eligible": over.count(f"{eligible[delay]} AND {over.holds(f'{name}_null')}"),
             f"{name}_min": over.smallest(delay),
             f"{name}_max": over.largest(delay),
             f"{name}_negative": over.count(over.holds(f"{name}_negative")),
@@ -165,19 +155,19 @@ def delay_counters(over: Counted) -> dict[str, Column]:
     return counters
 
 
-def band_counters(over: Counted) -> dict[str, Column]:
+def band_counters(over: Counted) -> Counters:
     counters = {}
-    for name in (f"{delay.lower()}_{band}" for delay in DELAYS for band in BANDS):
+    for name in (f"{delay.lower()}_{band}" for delay in DELAYS for band in _BANDS):
         inside = over.holds(name)
         counters |= {
             f"{name}_total": over.count(inside),
-            f"{name}_all_null": over.count(inside & _all_null(over)),
-            f"{name}_any_null": over.count(inside & _any_null(over)),
+            f"{name}_all_null": over.count(f"{inside} AND {_all_null(over)}"),
+            f"{name}_any_null": over.count(f"{inside} AND {_any_null(over)}"),
         }
     return counters
 
 
-def cause_counters(over: Counted) -> dict[str, Column]:
+def cause_counters(over: Counted) -> Counters:
     names = [f"{cause.lower()}_{kind}" for cause in CAUSES for kind in ("null", "negative")]
     return {name: over.count(over.holds(name)) for name in names}
 
@@ -189,21 +179,21 @@ RECONCILED = [
 ]
 
 
-def reconcile_counters(over: Counted) -> dict[str, Column]:
+def reconcile_counters(over: Counted) -> Counters:
     """Do the causes of a late flight add up to its arrival delay?"""
-    very_late = over.holds("arr_delay_ge_15")
+    very_late, late_at_all = over.holds("arr_delay_ge_15"), over.holds("arr_delay_gt_0_lt_15")
+    less, more = over.holds("causes_less"), over.holds("causes_greater")
     counters = {}
-    for name, late in zip(THRESHOLDS, (very_late | over.holds("arr_delay_gt_0_lt_15"), very_late)):
-        less, more = over.holds("causes_less"), over.holds("causes_greater")
-        off = late & (less | more)
+    for name, late in zip(THRESHOLDS, (f"({very_late} OR {late_at_all})", very_late)):
+        off = f"{late} AND ({less} OR {more})"
         values = [
             over.count(late),
-            over.count(late & _all_null(over)),
-            over.count(late & ~_any_null(over)),
-            over.count(late & over.holds("causes_equal")),
+            over.count(f"{late} AND {_all_null(over)}"),
+            over.count(f"{late} AND NOT {_any_null(over)}"),
+            over.count(f"{late} AND {over.holds('causes_equal')}"),
             over.count(off),
-            over.count(late & less),
-            over.count(late & more),
+            over.count(f"{late} AND {less}"),
+            over.count(f"{late} AND {more}"),
             over.total(off, GAP),
             over.largest(GAP, off),
         ]
@@ -211,15 +201,18 @@ def reconcile_counters(over: Counted) -> dict[str, Column]:
     return counters
 
 
-def clock_counters(over: Counted) -> dict[str, Column]:
-    reasons = [over.holds(f"crs_{reason}") for reason in CLOCK_FAULTS]
-    counters = {f"crs_{name}": over.count(test) for name, test in zip(CLOCK_FAULTS, reasons)}
-    # A NULL clock time answers the other questions with NULL; it is invalid all the same.
-    return counters | {"crs_invalid": over.count(reduce(or_, reasons))}
+def clock_counters(over: Counted) -> Counters:
+    faults = [over.holds(f"crs_{fault}") for fault in CLOCK_FAULTS]
+    counters = {f"crs_{name}": over.count(test) for name, test in zip(CLOCK_FAULTS, faults)}
+    return counters | {"crs_invalid": over.count(" OR ".join(faults))}
 
 
-def _evaluated(over: Counted, counters: Mapping[str, Column]) -> DataFrame:
-    return over.frame.agg(*(value.alias(name) for name, value in counters.items()))
+def _evaluated(over: Counted, counters: Counters) -> DataFrame:
+    return over.frame.selectExpr(*(f"{value} AS {name}" for name, value in counters.items()))
+
+
+def _percent_or_zero(part: str, whole: str) -> str:
+    return f"coalesce(try_divide({part}, {whole}) * 100.0D, 0.0D)"
 
 
 # --- reports --------------------------------------------------------------------------
@@ -246,50 +239,43 @@ def clock_report(raw: DataFrame) -> DataFrame:
 def delay_bands(raw: DataFrame) -> DataFrame:
     """Flights per delay and band, and how many lack all or some causes. Bands always appear."""
     over = Records(raw)
-    parts = []
-    for delay in DELAYS:
-        for band in BANDS:
-            total, none, some = (
-                F.col(f"{delay.lower()}_{band}_{c}") for c in ("total", "all_null", "any_null")
-            )
-            parts.append(
-                F.struct(
-                    F.lit(delay).alias("delay"), F.lit(band).alias("band"), total.alias("total"),
-                    none.alias("all_causes_null"), some.alias("any_cause_null"),
-                    F.coalesce(percent(none, total), F.lit(0.0)).alias("all_causes_null_pct"),
-                    F.coalesce(percent(some, total), F.lit(0.0)).alias("any_cause_null_pct"),
-                )
-            )
-    return _evaluated(over, band_counters(over)).select(F.inline(F.array(*parts)))
+    rows = [
+        f"'{delay}', '{band}', {delay}_{band}_total, {delay}_{band}_all_null, {delay}_{band}_any_null"
+        for delay in DELAYS
+        for band in _BANDS
+    ]
+    tall = _evaluated(over, band_counters(over)).selectExpr(
+        f"stack({len(rows)}, {', '.join(rows)}) AS (delay, band, total, all_causes_null, any_cause_null)"
+    )
+    return tall.selectExpr(
+        "*",
+        f"{_percent_or_zero('all_causes_null', 'total')} AS all_causes_null_pct",
+        f"{_percent_or_zero('any_cause_null', 'total')} AS any_cause_null_pct",
+    )
 
 
 def cause_nulls(raw: DataFrame) -> DataFrame:
     """NULL and negative values of each cause."""
     over = Records(raw)
-    parts = [
-        F.struct(
-            F.lit(cause).alias("cause"),
-            F.col(f"{cause.lower()}_null").alias("nulls"),
-            F.col(f"{cause.lower()}_negative").alias("negatives"),
-        )
-        for cause in CAUSES
-    ]
-    return _evaluated(over, cause_counters(over)).select(F.inline(F.array(*parts)))
+    rows = [f"'{cause}', {cause}_null, {cause}_negative" for cause in CAUSES]
+    return _evaluated(over, cause_counters(over)).selectExpr(
+        f"stack({len(rows)}, {', '.join(rows)}) AS (cause, nulls, negatives)"
+    )
 
 
 def cause_reconcile(raw: DataFrame) -> DataFrame:
     """One row per threshold (delay > 0, delay >= 15); differences only over differing rows."""
     over = Records(raw)
-    parts = [
-        F.struct(F.lit(name).alias("threshold"), *(F.col(f"{name}_{part}").alias(part) for part in RECONCILED))
-        for name in THRESHOLDS
-    ]
-    return _evaluated(over, reconcile_counters(over)).select(F.inline(F.array(*parts))).select(
+    rows = [f"'{name}', " + ", ".join(f"{name}_{part}" for part in RECONCILED) for name in THRESHOLDS]
+    tall = _evaluated(over, reconcile_counters(over)).selectExpr(
+        f"stack({len(rows)}, {', '.join(rows)}) AS (threshold, {', '.join(RECONCILED)})"
+    )
+    return tall.selectExpr(
         "threshold", "flights", "all_causes_null",
-        F.coalesce(percent("all_causes_null", "flights"), F.lit(0.0)).alias("all_causes_null_pct"),
+        f"{_percent_or_zero('all_causes_null', 'flights')} AS all_causes_null_pct",
         "comparable", "equal", "differ", "less", "greater",
-        F.try_divide("abs_diff_sum", "differ").alias("mean_abs_diff"),
-        F.col("abs_diff_max").alias("max_abs_diff"),
+        "try_divide(abs_diff_sum, differ) AS mean_abs_diff",
+        "abs_diff_max AS max_abs_diff",
     )
 
 
@@ -301,8 +287,8 @@ def quality_profile(raw: DataFrame) -> DataFrame:
         **status_counters(over), **delay_counters(over), **band_counters(over), **cause_counters(over),
         **reconcile_counters(over), **clock_counters(over),
     }
-    pairs = [F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in counters]
-    return _evaluated(over, counters).select(F.inline(F.array(*pairs)))
+    rows = ", ".join(f"'{name}', cast({name} AS double)" for name in counters)
+    return _evaluated(over, counters).selectExpr(f"stack({len(counters)}, {rows}) AS (metric, value)")
 
 
 def missing_causes(raw: DataFrame, per: str) -> DataFrame:
@@ -376,15 +362,15 @@ EXAMPLES_PER_CHECK = {
 }
 
 
-def violations() -> dict[str, Column]:
-    delay = F.col("ARR_DELAY")
+def violations() -> dict[str, str]:
+    """What each check looks for, as a SQL condition."""
     return {
-        "cancelled_and_diverted": (F.col("CANCELLED") == 1) & (F.col("DIVERTED") == 1),
-        "late_15_all_causes_null": (delay >= 15) & all_null(CAUSES),
-        "negative_causes": F.least(*CAUSES) < 0,
-        "invalid_crs_dep_time": bad_clock(F.col("CRS_DEP_TIME")),
-        "cause_sum_differs": (delay >= 15) & (F.abs(_cause_gap()) > SUM_TOLERANCE),
-        "late_all_causes_null": (delay > 0) & all_null(CAUSES),
+        "cancelled_and_diverted": "CANCELLED = 1 AND DIVERTED = 1",
+        "late_15_all_causes_null": f"ARR_DELAY >= 15 AND {_ALL_NULL}",
+        "negative_causes": f"least({', '.join(CAUSES)}) < 0",
+        "invalid_crs_dep_time": _BAD_CLOCK,
+        "cause_sum_differs": f"ARR_DELAY >= 15 AND abs({_GAP}) > {SUM_TOLERANCE}D",
+        "late_all_causes_null": f"ARR_DELAY > 0 AND {_ALL_NULL}",
     }
 
 
@@ -393,20 +379,15 @@ def examples(raw: DataFrame, per_check: Mapping[str, int] = EXAMPLES_PER_CHECK)
 
     One pass counts violations per check and date, which bounds the dates the second
     pass has to look at; only those few records are ordered.
-
-    Records of differing cause sums also show the total and its difference to the delay.
     """
-    tests = {name: test for name, test in violations().items() if name in per_check}
-    hit = F.array_remove(F.array(*(F.when(test, name).otherwise("") for name, test in tests.items())), "")
-    total = F.when(F.col("check") == "cause_sum_differs", cause_total(CAUSES))
+    tests = ", ".join(f"if({test}, '{name}', '')" for name, test in violations().items() if name in per_check)
     shown = [*FLIGHT_KEY, *FLAGS, *DELAYS, *CAUSES]
-    tagged = (
-        raw.where(reduce(or_, tests.values()))
-        .select(*shown, F.explode(hit).alias("check"))
-        .withColumn("total_cause_delay", total)
-        .withColumn("total_minus_arr_delay", F.col("total_cause_delay") - F.col("ARR_DELAY"))
-    )
-    wanted = F.create_map(*(F.lit(part) for pair in per_check.items() for part in pair))
+    tagged = raw.selectExpr(*shown, f"explode(array_remove(array({tests}), '')) AS check")
     order = [F.col(c).asc_nulls_first() for c in shown]
     first = first_k(tagged, ["check"], order, max(per_check.values()), leading=FLIGHT_KEY[:3])
-    return first.where(F.col("position") <= wanted[F.col("check")])
+    limits = " ".join(f"WHEN '{name}' THEN {k}" for name, k in per_check.items())
+    differs = "check = 'cause_sum_differs'"
+    return first.where(f"position <= CASE check {limits} END").selectExpr(
+        *shown, "check", f"if({differs}, {_TOTAL}, null) AS total_cause_delay",
+        f"if({differs}, {_GAP}, null) AS total_minus_arr_delay", "position",
+    )

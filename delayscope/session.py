@@ -17,6 +17,9 @@ SETTINGS = {
     # a task sees more groups than this. The default (128) is below
     # carriers x hours, so raise it past every bounded grouping used here.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
+    # Do not record the Python call site of every column expression; that doubles the
+    # time it takes to describe a query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from delayscope.operators.cleaning import clean_flights
 from delayscope.schema import CAUSES, RAW_SCHEMA
@@ -32,14 +31,11 @@ def _view(spark: SparkSession, sf_dir: str, sql: str, source: str) -> DataFrame:
 
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 27-column raw layout; columns the view does not derive are NULL."""
-    view = _view(spark, sf_dir, views.FLIGHTS_RAW, "lineitem")
     known = {**RENAMED, **{name: name.lower() for name in SAME_NAME}}
-    return view.select(
-        *(
-            (F.col(known[f.name]) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in RAW_SCHEMA
-        )
+    columns = ", ".join(
+        f"CAST({known.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW_SCHEMA
     )
+    return _view(spark, sf_dir, f"SELECT {columns} FROM ({views.FLIGHTS_RAW}) v", "lineitem")
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
