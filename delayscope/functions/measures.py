@@ -12,14 +12,6 @@ from pyspark.sql import functions as F
 from delayscope.functions.casting import as_column
 from delayscope.functions.rounding import binary_round
 
-# On time or early, slightly late, officially late.
-BANDS = {
-    "le_0": lambda delay: delay <= 0,
-    "gt_0_lt_15": lambda delay: (delay > 0) & (delay < 15),
-    "ge_15": lambda delay: delay >= 15,
-}
-
-
 def cause_total(columns: Iterable[Column | str]) -> Column:
     """Sum across columns; NULL when any of them is NULL."""
     return reduce(add, map(as_column, columns))
@@ -34,8 +26,9 @@ def any_null(columns: Iterable[Column | str]) -> Column:
 
 
 def delay_band(delay: Column | str) -> Column:
-    """Name of the band a delay falls into; NULL for an unknown delay."""
-    return F.coalesce(*(F.when(inside(as_column(delay)), name) for name, inside in BANDS.items()))
+    """On time or early, slightly late, officially late; NULL for an unknown delay."""
+    value = as_column(delay)
+    return F.when(value <= 0, "le_0").when(value < 15, "gt_0_lt_15").when(value >= 15, "ge_15")
 
 
 def percent(part: Column | str, whole: Column | str) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -71,19 +71,13 @@ def ranked_rows(ranked: DataFrame) -> DataFrame:
 
 def ranked_values(ranked: DataFrame) -> DataFrame:
     """One text value per rank: carrier, flights, mean delay, causes in minutes and percent."""
-    plain = ["carrier", "num_flights", "arrdelay_mean"]
-    texts = ranked.select("rank", *(F.col(c).cast("string").alias(c) for c in plain))
-    head = texts.unpivot("rank", plain, "metric", "value").withColumn("metric", F.col("metric"))
-    causes = cause_shares(ranked)
-    minutes = causes.select(
-        "rank", F.concat(F.lit("cause_abs:"), F.col("cause")).alias("metric"),
-        F.col("minutes").cast("string").alias("value"),
-    )
-    shares = causes.select(
-        "rank", F.concat(F.lit("cause_pct:"), F.col("cause")).alias("metric"),
-        F.col("share_pct").cast("string").alias("value"),
-    )
-    return head.unionByName(minutes).unionByName(shares).select(
+    zero = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in CAUSE_MEANS}
+    total = cause_total(zero.values())
+    values = {c: F.col(c) for c in ("carrier", "num_flights", "arrdelay_mean")}
+    values |= {f"cause_abs:{c}": minutes for c, minutes in zero.items()}
+    values |= {f"cause_pct:{c}": share_percent(minutes, total) for c, minutes in zero.items()}
+    texts = ranked.select("rank", *(value.cast("string").alias(name) for name, value in values.items()))
+    return texts.unpivot("rank", [F.col(f"`{name}`") for name in values], "metric", "value").select(
         _key("q2", "metric", F.col("metric")).alias("key"), F.col("rank").cast("string").alias("field"), "value"
     )
 
@@ -140,9 +134,7 @@ def extreme_values(extremes: DataFrame) -> DataFrame:
 
 def latest_points(points: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:
     """One value per key: that of the highest ``order``. Combines on the map side."""
-    return points.groupBy(*keys).agg(
-        F.max_by(F.struct(value), order)[value].alias(value), F.max(order).alias(order)
-    )
+    return points.groupBy(*keys).agg(F.max_by(value, order).alias(value), F.max(order).alias(order))
 
 
 def wide_series(series: DataFrame, metric: str, airlines: Sequence[str], label: str | None = "MMM") -> DataFrame:
@@ -176,3 +168,10 @@ def parse_json_rows(rows: DataFrame, schema: StructType | str, drop: Iterable[st
     """Payloads back as typed columns, without ``drop``, under the ``rename`` names."""
     parsed = rows.select(F.from_json("payload", schema).alias("r")).select("r.*").drop(*drop)
     return parsed.withColumnsRenamed(rename or {})
+
+
+def metadata_row(spark: SparkSession, key: str, details: dict[str, str]) -> DataFrame:
+    """One JSON row about a publication: when it was made, and the given details."""
+    parts = [F.lit(value).alias(name) for name, value in details.items()]
+    stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at")
+    return json_rows(spark.range(1).select(stamp, *parts), key, F.lit("metadata"))

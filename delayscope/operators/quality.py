@@ -343,7 +343,11 @@ def row_counts(raw: DataFrame, expected_months: Iterable[int] = EXPECTED_MONTHS)
 
 
 def duplicate_audit(raw: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
-    """Key groups that occur more than once, and the rows in them. NULLs compare equal."""
+    """Key groups that occur more than once, and the rows in them. NULLs compare equal.
+
+    Nearly every key is unique, so this shuffles the key columns of all records; size the
+    session for it with ``settings_for_input``. Copies of one key combine before they move.
+    """
     repeated = raw.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return repeated.agg(
         F.count(F.lit(1)).alias("duplicate_groups"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_in_groups")
