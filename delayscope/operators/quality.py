@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delayscope.functions import all_null, percent
@@ -381,17 +381,39 @@ def violations() -> dict[str, str]:
 def examples(raw: DataFrame, per_check: Mapping[str, int] = EXAMPLES_PER_CHECK) -> DataFrame:
     """The first few records violating each check, in record order.
 
-    One pass counts violations per check and date, which bounds the dates the second
-    pass has to look at; only those few records are ordered.
+    The first pass counts violations per date and check. A check's first k records lie on
+    the dates before and including the one that completes k: at most k dates, since each
+    has a violation. The second pass looks only at records of those dates.
     """
-    tests = ", ".join(f"if({test}, '{name}', '')" for name, test in violations().items() if name in per_check)
-    shown = [*FLIGHT_KEY, *FLAGS, *DELAYS, *CAUSES]
-    tagged = raw.selectExpr(*shown, f"explode(array_remove(array({tests}), '')) AS check")
+    tests = {name: test for name, test in violations().items() if name in per_check}
+    date, shown = FLIGHT_KEY[:3], [*FLIGHT_KEY, *FLAGS, *DELAYS, *CAUSES]
+    limit = "CASE check " + " ".join(f"WHEN '{name}' THEN {k}" for name, k in per_check.items()) + " END"
+
+    per_date = raw.groupBy(*date).agg(*(F.expr(f"count_if({test})").alias(name) for name, test in tests.items()))
+    pairs = ", ".join(f"'{name}', {name}" for name in tests)
+    earlier = Window.partitionBy("check").orderBy(*date).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = (
+        per_date.selectExpr(*date, f"stack({len(tests)}, {pairs}) AS (check, n)")
+        .where("n > 0")
+        .withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        .where(f"before < {limit}")
+        .groupBy(*date)
+        .agg(F.collect_set("check").alias("_wanted"))
+    )
+
+    flags = ", ".join(f"if({test}, '{name}', '')" for name, test in tests.items())
+    same_date = [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in date]
+    tagged = (
+        raw.select(*shown).alias("r")
+        .join(F.broadcast(wanted).alias("w"), same_date)
+        .select("r.*", "w._wanted")
+        .selectExpr(*shown, "_wanted", f"explode(array_remove(array({flags}), '')) AS check")
+        .where("array_contains(_wanted, check)")
+    )
     order = [F.col(c).asc_nulls_first() for c in shown]
-    first = first_k(tagged, ["check"], order, max(per_check.values()), leading=FLIGHT_KEY[:3])
-    limits = " ".join(f"WHEN '{name}' THEN {k}" for name, k in per_check.items())
+    first = first_k(tagged, ["check"], order, max(per_check.values()))
     differs = "check = 'cause_sum_differs'"
-    return first.where(f"position <= CASE check {limits} END").selectExpr(
+    return first.where(f"position <= {limit}").selectExpr(
         *shown, "check", f"if({differs}, {_TOTAL}, null) AS total_cause_delay",
         f"if({differs}, {_GAP}, null) AS total_minus_arr_delay", "position",
     )

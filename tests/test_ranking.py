@@ -35,13 +35,11 @@ def test_row_numbers_share_one_shuffle_of_the_rows(spark):
     assert 1 <= len(moved) <= 2
 
 
-def test_first_k_with_and_without_leading(spark):
-    data = [(k, o, i) for k, o, i in rows() if k is not None]
-    df = spark.createDataFrame(data, "k string, o int, i int")
-    want = {i: place for i, place in expected(data).items() if place <= 7}
-    for leading in ([], ["o"]):
-        found = first_k(df, ["k"], [F.col("o").asc_nulls_first(), "i"], 7, leading=leading)
-        assert {r["i"]: r["position"] for r in dicts(found)} == want
+def test_first_k(spark):
+    df = spark.createDataFrame(rows(), "k string, o int, i int")
+    want = {i: place for i, place in expected(rows()).items() if place <= 7}
+    found = first_k(df, ["k"], [F.col("o").asc_nulls_first(), "i"], 7)
+    assert {r["i"]: r["position"] for r in dicts(found)} == want
 
 
 def test_first_k_cuts_before_the_shuffle(spark):
