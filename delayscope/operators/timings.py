@@ -48,6 +48,24 @@ PHASE_LABELS = {
 # A phase ranks where it stands above; one not listed comes after all of them.
 UNKNOWN_RANK = 999
 
+SERVED_ALGORITHMS = {"df": "Spark DataFrame", "rdd": "Spark RDD"}
+SERVED_SPECIAL = {("Q3", "rdd"): "RDD + t-digest"}
+
+REPORT_TECHNIQUES = {
+    ("Q1", "df"): "groupBy+agg",
+    ("Q1", "rdd"): "combineByKey",
+    ("Q2", "df"): "groupBy+agg",
+    ("Q2", "rdd"): "combineByKey",
+    ("Q3", "df"): "percentile_approx (Greenwald-Khanna, Spark native)",
+    ("Q3", "rdd"): "t-digest (aggregateByKey, merge sul driver)",
+}
+
+PHASE_NOTES = {
+    "end_to_end_s": "includes output",
+    "computation_percentiles_s": "Q3 percentile computation",
+    "computation_s": "main computation phase",
+}
+
 DIRECT_PHASES = {
     "spark_start_s": "Spark start",
     "loading_s": "Loading",
@@ -94,21 +112,14 @@ def implementation_label(impl: str | Column = "impl") -> Column:
 
 
 def algorithm_name(query: Column, impl: Column) -> Column:
-    return (
-        F.when(impl == "df", "Spark DataFrame")
-        .when((impl == "rdd") & (query == "Q3"), "RDD + t-digest")
-        .when(impl == "rdd", "Spark RDD")
-        .otherwise("")
-    )
+    """Algorithm shown in serving tables; blank for an unknown implementation."""
+    special = [F.when((query == q) & (impl == i), text) for (q, i), text in SERVED_SPECIAL.items()]
+    general = [F.when(impl == i, text) for i, text in SERVED_ALGORITHMS.items()]
+    return F.coalesce(*special, *general, F.lit(""))
 
 
 def phase_note(phase: Column) -> Column:
-    notes = {
-        "end_to_end_s": "includes output",
-        "computation_percentiles_s": "Q3 percentile computation",
-        "computation_s": "main computation phase",
-    }
-    return _lookup(notes, phase, F.lit(""))
+    return _lookup(PHASE_NOTES, phase, F.lit(""))
 
 
 def output_note(phase: Column) -> Column:
@@ -116,6 +127,12 @@ def output_note(phase: Column) -> Column:
     return F.when(phase.isin("output_s", "end_to_end_s"), "includes_output").otherwise("computation_only")
 
 
+def technique_name(query: Column, impl: Column) -> Column:
+    """How an implementation computes a query, as the stored reports name it."""
+    named = [F.when((query == q) & (impl == i), text) for (q, i), text in REPORT_TECHNIQUES.items()]
+    return F.coalesce(*named, F.lit(""))
+
+
 # --- reading logs ---------------------------------------------------------------------
 
 
@@ -224,6 +241,20 @@ def phase_stats(log: DataFrame, keys: Sequence[str] = (*GROUP, "phase"), digits:
     return found.select(*keys, *STATS)
 
 
+def phase_report(stats: DataFrame, total_iterations: int, warmup_iterations: int) -> DataFrame:
+    """Phase statistics in the layout of a stored report."""
+    return stats.select(
+        *GROUP,
+        technique_name(F.col("query"), F.col("impl")).alias("algorithm"),
+        "phase",
+        *STATS,
+        F.lit(total_iterations).alias("total_iterations"),
+        F.lit(warmup_iterations).alias("warmup_iterations"),
+        F.lit(total_iterations - warmup_iterations).alias("valid_iterations"),
+        output_note(F.col("phase")).alias("note"),
+    )
+
+
 def _slot(worker: str = "worker_count", impl: str = "impl") -> Column:
     """Place of a box on the axis: workers first, then implementation."""
     ranks = {name: i for i, name in enumerate(IMPLEMENTATIONS)}

@@ -33,10 +33,12 @@ ALL_CARRIERS = "query2_all_airlines_stats"
 TOP_CARRIERS = "query2_top10_arrival_delay"
 PERCENTILES = "query3_hourly_percentiles"
 EXTREMES = "query3_global_minmax"
+_CARRIER_SCHEMA = "carrier string, num_flights bigint, " + ", ".join(f"{c} double" for c in CARRIER_MEASURES[1:])
 SCHEMAS = {
     MONTHLY: "month int, airline string, "
     + ", ".join([*(f"{c} bigint" for c in MONTHLY_COUNTS), *(f"{c} double" for c in MONTHLY_MEASURES)]),
-    TOP_CARRIERS: "carrier string, num_flights bigint, " + ", ".join(f"{c} double" for c in CARRIER_MEASURES[1:]),
+    ALL_CARRIERS: _CARRIER_SCHEMA,
+    TOP_CARRIERS: _CARRIER_SCHEMA,
     PERCENTILES: "airline string, hour int, num_flights bigint, "
     + ", ".join(f"{c} double" for c in PERCENTILE_COLUMNS),
     EXTREMES: "airline string, " + ", ".join(f"{c} double" for c in EXTREME_MEASURES),
@@ -44,6 +46,12 @@ SCHEMAS = {
 RESULT_NAMES = [MONTHLY, ALL_CARRIERS, TOP_CARRIERS, PERCENTILES, EXTREMES]
 
 
+def _stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A result read back with its types. Its values are rounded, so text holds them exactly."""
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return reader.schema(SCHEMAS[name]).csv(f"{folder}/{name}")
+
+
 def clean_job(spark: SparkSession, raw_path: str, processed_path: str, partition_by: str | None = None) -> int:
     """Raw CSV to processed Parquet; the number of rows written."""
     return sinks.write_processed(clean_flights(sources.read_raw(spark, raw_path)), processed_path, partition_by)
@@ -58,14 +66,11 @@ def monthly_job(spark: SparkSession, processed_path: str, out: str,
 
 def carriers_job(spark: SparkSession, processed_path: str, out: str, k: int = carriers.TOP_K,
                  min_flights: int = carriers.MIN_FLIGHTS) -> None:
-    """Statistics of all carriers, and the ranking from the stored statistics."""
-    stored = scratch_path(spark, "carrier-stats")
-    carriers.carrier_stats(sources.read_processed(spark, processed_path)).write.parquet(stored)
-    stats = spark.read.parquet(stored)
+    """Statistics of all carriers, and the ranking read off the stored statistics."""
+    stats = carriers.carrier_stats(sources.read_processed(spark, processed_path))
     sinks.write_csv(stats, f"{out}/{ALL_CARRIERS}", order_by=["carrier"], single_file=True)
-    ranked = feeds.ranked_carriers(carriers.top_carriers(stats, k, min_flights))
-    top = ranked.repartition(1).sortWithinPartitions("rank").drop("rank")
-    top.write.mode("overwrite").option("header", True).csv(f"{out}/{TOP_CARRIERS}")
+    # A top-k comes out of one task in order, so it needs no further sorting.
+    sinks.write_csv(carriers.top_carriers(_stored(spark, out, ALL_CARRIERS), k, min_flights), f"{out}/{TOP_CARRIERS}")
 
 
 def hourly_job(spark: SparkSession, processed_path: str, out: str,
@@ -102,11 +107,9 @@ def results_status(spark: SparkSession, out: str) -> DataFrame:
 def feeds_job(spark: SparkSession, results: str, out: str, year: int = 2025,
               months: Sequence[int] = (1, 2, 3, 4)) -> None:
     """Serving tables from the stored results: values, series and the ranking."""
-    def stored(name: str, schema: str) -> DataFrame:
-        reader = spark.read.option("header", True).option("enforceSchema", False)
-        return reader.schema(schema).csv(f"{results}/{name}")
-
-    one, two, three, four = (stored(name, SCHEMAS[name]) for name in (MONTHLY, TOP_CARRIERS, PERCENTILES, EXTREMES))
+    one, two, three, four = (
+        _stored(spark, results, name) for name in (MONTHLY, TOP_CARRIERS, PERCENTILES, EXTREMES)
+    )
 
     def publish(values: DataFrame, feed: str) -> None:
         # Names and numbers share the value column, so it holds text.

@@ -633,6 +633,13 @@ def all_sql() -> dict[str, str]:
         LOG, STATS,
     )
     sql["bench_stats"] = _with(_stats("tlog", "worker_count, query, impl, phase"), TLOG)
+    sql["bench_report"] = _with(
+        "SELECT *, CASE WHEN query = 'Q3' AND impl = 'df' THEN 'percentile_approx (Greenwald-Khanna, Spark native)' "
+        "WHEN query = 'Q3' THEN 't-digest (aggregateByKey, merge sul driver)' WHEN impl = 'df' THEN 'groupBy+agg' "
+        "ELSE 'combineByKey' END AS algorithm, 20 AS total_iterations, 5 AS warmup_iterations, 15 AS valid_iterations, "
+        "CASE WHEN phase IN ('output_s', 'end_to_end_s') THEN 'includes_output' ELSE 'computation_only' END AS note FROM stats",
+        LOG, STATS,
+    )
     sql["bench_stats_raw"] = _with(_stats("tlog", "worker_count, query, impl, phase", None), TLOG)
     sql["bench_boxstats"] = _with(
         f"SELECT make_timestamp(2025, 1, 1, 0, 0, 0) + to_minutes({SLOT}) AS time, query, worker_count, impl, "

@@ -470,6 +470,11 @@ def bench_stats(spark, sf):
     return timings.phase_stats(inputs.tlog(spark, sf))
 
 
+@query
+def bench_report(spark, sf):
+    return timings.phase_report(_phase_stats(spark, sf), total_iterations=20, warmup_iterations=5)
+
+
 @query
 def bench_stats_raw(spark, sf):
     rows = timings.phase_stats(
