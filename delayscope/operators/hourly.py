@@ -18,8 +18,9 @@ SKETCH_SIZE = 200
 _MERGE_WIDTH = 64
 
 
-def hourly_departures(flights: DataFrame, carriers: Sequence[str] | None = DEFAULT_CARRIERS) -> DataFrame:
-    """(airline, hour, DEP_DELAY) of flights that left, at clock hours 0 to 23.
+def hourly_departures(flights: DataFrame, carriers: Sequence[str] | None = DEFAULT_CARRIERS,
+                      keep: Sequence[str] = ()) -> DataFrame:
+    """(airline, hour, kept columns, DEP_DELAY) of flights that left, at clock hours 0 to 23.
 
     The range test on the raw clock time selects the same rows as 0 <= hour <= 23 and,
     unlike a test on the derived hour, is pushed into the Parquet scan.
@@ -28,7 +29,7 @@ def hourly_departures(flights: DataFrame, carriers: Sequence[str] | None = DEFAU
     return chosen.where(
         (F.col("CANCELLED") == 0) & F.col("DEP_DELAY").isNotNull() & F.col("CRS_DEP_TIME").between(0, 2399)
     ).select(
-        F.col("OP_UNIQUE_CARRIER").alias("airline"), hour_of("CRS_DEP_TIME").alias("hour"), "DEP_DELAY"
+        F.col("OP_UNIQUE_CARRIER").alias("airline"), hour_of("CRS_DEP_TIME").alias("hour"), *keep, "DEP_DELAY"
     )
 
 
@@ -88,16 +89,8 @@ def delay_sketches(flights: DataFrame, carriers: Sequence[str] | None = DEFAULT_
     Every task sketches its own rows. Merging happens in two steps, first among a share
     of the tasks and then among the shares, so a hot group is not merged by one task.
     """
-    chosen = flights if carriers is None else flights.where(F.col("OP_UNIQUE_CARRIER").isin(list(carriers)))
-    rows = chosen.where(
-        (F.col("CANCELLED") == 0) & F.col("DEP_DELAY").isNotNull() & F.col("CRS_DEP_TIME").between(0, 2399)
-    ).select(
-        F.col("OP_UNIQUE_CARRIER").alias("airline"),
-        hour_of("CRS_DEP_TIME").alias("hour"),
-        *by,
-        "DEP_DELAY",
-        (F.spark_partition_id() % _MERGE_WIDTH).alias("_share"),
-    )
+    share = (F.spark_partition_id() % _MERGE_WIDTH).alias("_share")
+    rows = hourly_departures(flights, carriers, by).select("*", share)
     keys = [*HOURLY_KEYS, *by]
     return (
         rows.groupBy(*keys, "_share")

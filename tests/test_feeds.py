@@ -62,3 +62,8 @@ def test_json_rows_keep_nulls(spark):
     assert row == {"key": "key", "field": "1", "payload": '{"a":1,"b":null}'}
     back = feeds.parse_json_rows(feeds.json_rows(df, "key", df["a"]), "a int, b double", drop=["b"], rename={"a": "A"})
     assert dicts(back) == [{"A": 1}]
+
+
+def test_metadata_row(spark):
+    (row,) = dicts(feeds.metadata_row(spark, "bench:meta", {"source": "log.csv"}))
+    assert row["field"] == "metadata" and '"source":"log.csv"' in row["payload"] and "generated_at" in row["payload"]

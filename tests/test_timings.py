@@ -142,3 +142,21 @@ def test_lines(spark):
 def test_totals(spark):
     df = log(spark, [(1, "Q1", "df", p, 1, v) for p, v in (("loading_s", 0.1), ("filtering_s", 0.2), ("output_s", 5.0))])
     assert dicts(t.total_time(df, ["loading_s", "filtering_s"]))[0]["total_s"] == 0.3
+
+
+def test_reports_are_stacked_from_files(spark, tmp_path):
+    header = "worker_count,query,impl,phase,iteration,time_s"
+    for worker in (1, 2):
+        (tmp_path / f"raw_{worker}.csv").write_text(f"{header}\n{worker},q1,DF,output_s,1,2.5\n")
+    (tmp_path / "raw_3.csv").write_text(header + "\n")
+    (tmp_path / "other.csv").write_text("x\n1\n")
+    rows = t.normalise_iterations(t.read_reports(spark, f"{tmp_path}/raw_*.csv"))
+    assert sorted((r["worker_count"], r["query"], r["impl"], r["time_s"]) for r in dicts(rows)) == [
+        (1, "Q1", "df", 2.5), (2, "Q1", "df", 2.5),
+    ]
+
+
+def test_stacked_reports_fill_missing_columns(spark):
+    one = log(spark, [(1, "Q1", "df", "p", 1, 1.0)])
+    stacked = t.stack_reports([one, one.drop("iteration")])
+    assert sorted(r["iteration"] or 0 for r in dicts(stacked)) == [0, 1]
