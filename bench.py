@@ -34,7 +34,7 @@ from verification.registry import REGISTRY  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-QUERY_WARMUP, QUERY_RUNS = 1, 3
+QUERY_WARMUP, QUERY_RUNS = 1, 2
 PHASE_WARMUP, PHASE_RUNS = 5, 15
 PUBLISHED_ROWS = 2_200_000
 

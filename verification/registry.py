@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from delayscope.functions import bad_minutes, hour_of, number, number_or_zero, thousands, whole, whole_or_zero
 from delayscope.operators import carriers, compare, feeds, hourly, monthly, night, quality, timings
 from delayscope.operators.cleaning import clean_flights
-from delayscope.schema import CAUSES, PROCESSED_COLUMNS
+from delayscope.schema import PROCESSED_COLUMNS
 from delayscope.sinks import files as sinks
 from delayscope.sinks.scratch import scratch_path
 from delayscope.sources import files as sources
