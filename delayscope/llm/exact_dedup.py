@@ -11,16 +11,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delayscope.llm import bloom
 from delayscope.llm.common import WHITE, stored, text_of
 
-#: Bits of a filter per row. More bits let fewer unique rows into the shuffle.
-BITS_PER_ROW = 16
-#: Largest filter that is broadcast (bytes); a larger one is joined by shuffling.
-BROADCAST_BYTES = 64 << 20
-#: Bits of one bitmap of Spark's bitmap functions: a fixed value of theirs.
-BLOCK_BITS = 32768
-
-
 def normalised(text: Column) -> Column:
     """The text without any white space of the set the contract names."""
     return reduce(lambda t, c: F.replace(t, F.lit(c), F.lit("")), WHITE, text)
@@ -36,46 +29,15 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     ).withColumn("hash", F.xxhash64("text_sha256"))
 
 
-def _slot(seed: int, bits: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), F.col("hash")), F.lit(bits)) + 1
-
-
-def _repeated_slots(rows: DataFrame, seed: int, bits: int) -> DataFrame:
-    """Bitmaps of the filter slots that two rows or more fall into, one per block of slots."""
-    return (
-        rows.groupBy(_slot(seed, bits).alias("slot"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .groupBy(F.bitmap_bucket_number("slot").alias("block"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
-    )
-
-
 def _probe(rows: DataFrame, seed: int, bits: int) -> DataFrame:
-    """Rows plus ``hit``: whether the row's slot is one that repeats."""
-    filters = _repeated_slots(rows, seed, bits)
-    if bits // 8 <= BROADCAST_BYTES:
-        filters = F.broadcast(filters)
-    slot = _slot(seed, bits)
-    position = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("bitmap", F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.expr("shiftleft(1, cast(bit_position % 8 AS int))")
-    return (
-        rows.withColumn("block", F.bitmap_bucket_number(slot))
-        .withColumn("bit_position", position)
-        .join(filters, "block", "left")
-        .withColumn("hit", F.coalesce(byte.bitwiseAND(bit) != 0, F.lit(False)))
-        .drop("block", "bit_position", "bitmap")
-    )
-
-
-def filter_bits(rows: int, bits_per_row: int = BITS_PER_ROW) -> int:
-    """Bits of a filter for so many rows: a power of two, one block at least."""
-    return max(BLOCK_BITS, 1 << max(0, rows * bits_per_row - 1).bit_length())
+    """Rows plus ``hit``: whether another row falls into the same filter slot."""
+    hashed = F.col("hash")
+    counted = rows.groupBy(bloom.slot(hashed, seed, bits).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    return bloom.probe(rows, hashed, bloom.bitmaps(counted.filter("n > 1")), seed, bits)
 
 
 def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                     bits_per_row: int = BITS_PER_ROW) -> DataFrame:
+                     bits_per_row: int = bloom.BITS_PER_ENTRY) -> DataFrame:
     """Group of equal texts of every document.
 
     Texts are equal when they are the same after white space is deleted; null is the
@@ -93,7 +55,7 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     winner by id. An empty table gives an empty result; other columns are not read.
     """
     slim = stored(fingerprints(docs, id_column, text_column), "exact-fingerprints")
-    bits = filter_bits(slim.count(), bits_per_row)
+    bits = bloom.filter_bits(slim.count(), bits_per_row)
     first = _probe(slim, 1, bits)
     second = stored(
         first.filter("hit").drop("hit"), "exact-first-pass"
