@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delayscope.llm import chat_format, exact_dedup
+from delayscope.llm import chat_format, exact_dedup, near_dedup
 from delayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,8 @@ def op10_chat_format(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], turns.schema)
     return chat_format.read_back(chat_format.format_chats(turns.unionByName(added)))
+
+
+@query
+def op6_near_dedup(spark, sf):
+    return near_dedup.near_duplicates(table(spark, sf, "documents"))
