@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delayscope.llm import chat_format, exact_dedup, near_dedup
+from delayscope.llm import chat_format, exact_dedup, line_dedup, near_dedup
 from delayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,8 @@ def op10_chat_format(spark, sf):
 @query
 def op6_near_dedup(spark, sf):
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op3_line_dedup(spark, sf):
+    return line_dedup.line_decisions(table(spark, sf, "documents")).drop("doc_key")
