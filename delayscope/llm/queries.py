@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delayscope.llm import chat_format, exact_dedup, line_dedup, near_dedup
+from delayscope.llm import chat_format, exact_dedup, line_dedup, near_dedup, packing
 from delayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The ranks of the vocabulary byte_bpe_50k.json, which give the same ids.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -54,3 +57,14 @@ def op6_near_dedup(spark, sf):
 @query
 def op3_line_dedup(spark, sf):
     return line_dedup.line_decisions(table(spark, sf, "documents")).drop("doc_key")
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+@query
+def op5_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), vocabulary())
