@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delayscope.llm import chat_format, exact_dedup, line_dedup, near_dedup, packing
+from delayscope.llm import chat_format, exact_dedup, line_dedup, near_dedup, packing, toxicity
 from delayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,8 @@ def vocabulary() -> str:
 @query
 def op5_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), vocabulary())
+
+
+@query
+def op9_toxicity(spark, sf):
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
