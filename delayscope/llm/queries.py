@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delayscope.llm import chat_format, exact_dedup, line_dedup, near_dedup, packing, toxicity
+from delayscope.llm import chat_format, decontamination, exact_dedup, line_dedup, near_dedup, packing, toxicity
 from delayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,23 @@ def op5_packing(spark, sf):
 @query
 def op9_toxicity(spark, sf):
     return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op2_decontamination(spark, sf):
+    return decontamination.contained_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+SQL["op2_decontamination"] = r"""
+WITH words AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark)),
+shingles AS (
+  SELECT DISTINCT kind, id, unnest(list_transform(range(greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT id, count(*) AS n_item FROM shingles WHERE kind = 'b' GROUP BY id)
+SELECT b.id AS item_id, d.id AS doc_id, any_value(n_item) AS n_item, count(*) AS n_shared
+FROM shingles b JOIN shingles d ON d.s = b.s AND d.kind = 'd' JOIN sizes ON sizes.id = b.id
+WHERE b.kind = 'b' GROUP BY b.id, d.id HAVING 100 * count(*) >= 75 * any_value(n_item)
+"""
