@@ -17,49 +17,33 @@ from delayscope.llm.common import stored
 PIVOT_GROWTH = 4
 
 
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
-    """One step of the alternating stars: neighbours are re-linked to a node's smallest one."""
-    if larger:
-        sides = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    else:
-        sides = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    # Stored before the join: both join inputs are then plain shuffles, which adaptive
-    # execution can split where one hub has a large share of all edges.
-    sides = stored(sides.distinct(), "links")
-    smallest = stored(sides.groupBy("u").agg(F.min("v").alias("m")), "smallest")
-    joined = sides.join(smallest, "u")
-    if larger:
-        new = joined.filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-    else:
-        new = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            smallest.select("u", F.col("m").alias("v"))
-        )
-    return new.filter("u <> v").distinct()
-
-
-def _print(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-    return row["n"], row["x"]
-
-
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component) of every node of the undirected edges (a, b).
-
-    Distributed union-find by alternating large and small stars, until nothing changes:
-    a logarithmic number of steps, each a count per node and a join of bounded fan-out.
-    Self links and repeated edges do no harm; no edges give no rows.
+    """(id, component) of every node of the undirected edges (a, b): distributed union-find.
+
+    Every node has a parent, at first itself. A step lets nodes and their parents hook onto
+    the smallest grandparent among their neighbours, then halves the paths; it ends when no
+    grandparent changes. The number of steps is about the logarithm of the longest path,
+    two or three for the stars that buckets give. Tables are stored before they are joined:
+    both join inputs are then plain shuffles, which adaptive execution splits where one hub
+    has a large share of all edges. Self links and repeated edges do no harm; no edges give
+    no rows.
     """
-    now = stored(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = _print(now)
-    while before[0]:
-        now = stored(_star(stored(_star(now, larger=True), "large-star"), larger=False), "small-star")
-        after = _print(now)
-        if after == before:
-            break
-        before = after
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-        now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    )
+    both = edges.filter("a <> b").select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e"))
+    links = stored(both.select("e.u", "e.v"), "links")
+    # The first step needs no join: every node is its own grandparent.
+    near = links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.col("u").alias("f"), F.least("u", "m").alias("m"))
+    before = None
+    while True:
+        hooks = near.select(F.explode(F.array(F.struct(F.col("u").alias("id"), "m"), F.struct(F.col("f").alias("id"), "m"))).alias("h"))
+        parents = stored(hooks.groupBy("h.id").agg(F.min("h.m").alias("f")), "parents")
+        up = parents.select(F.col("id").alias("f"), F.col("f").alias("g"))
+        forest = stored(parents.join(up, "f").select("id", "f", "g"), "forest")
+        now = forest.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("id", "g")), F.sum((F.col("f") != F.col("g")).cast("int"))).first()
+        if now == before or not now[0]:
+            return forest.select("id", F.col("f").alias("component"))
+        before = now
+        around = links.join(forest.select(F.col("id").alias("v"), "g"), "v").groupBy("u").agg(F.min("g").alias("m"))
+        near = around.join(forest, around["u"] == forest["id"]).select("u", "f", F.least("m", "g").alias("m"))
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
@@ -83,31 +67,36 @@ def link(shared: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFra
     other components. A bucket of near copies is done after a pass or two however large it
     is; only members unlike all others meet every pivot.
     """
-    pairs = shared.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    edges = stored(verify(pairs), "verified")
-    rest = shared.filter("id <> pivot").select("key", "id")
-    components = connected_components(edges)
-    pivots = 1
+    rest = shared.filter("id <> pivot")
+    pairs = rest.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    components = connected_components(verify(pairs))
+    rest, pivots = rest.select("key", "id"), 1
     while True:
-        labelled = stored(
-            rest.join(components, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")), "labelled"
-        )
-        open_keys = stored(
-            labelled.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most"))
-            .filter("least <> most").select("key"), "open",
-        )
-        if open_keys.isEmpty():
+        labelled = rest.join(components, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        unfinished = labelled.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least <> most")
+        labelled = stored(labelled.join(unfinished.select("key"), "key"), "open-buckets")
+        if labelled.isEmpty():
             return components
         pivots *= PIVOT_GROWTH
-        labelled = stored(labelled.join(open_keys, "key"), "open-rows")
-        chosen = stored(
-            labelled.withColumn("i", F.row_number().over(Window.partitionBy("key").orderBy("id")))
-            .filter(F.col("i") <= pivots).select("key", F.col("id").alias("p"), F.col("c").alias("pc")),
-            "chosen",
-        )
+        ranked = labelled.withColumn("i", F.row_number().over(Window.partitionBy("key").orderBy("id")))
+        chosen = stored(ranked.filter(F.col("i") <= pivots).select("key", F.col("id").alias("p"), F.col("c").alias("pc")), "pivots")
         meet = labelled.join(chosen, "key").filter("c <> pc")
         pairs = meet.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
         found = stored(verify(pairs), "verified")
-        edges = edges.unionByName(found)
         rest = labelled.join(chosen.select("key", F.col("p").alias("id")), ["key", "id"], "left_anti").select("key", "id")
-        components = connected_components(edges)
+        if not found.isEmpty():
+            components = _joined(components, found)
+
+
+def _joined(components: DataFrame, found: DataFrame) -> DataFrame:
+    """The components after further links, found between members of different ones."""
+
+    def root(end: str) -> DataFrame:
+        return components.select(F.col("id").alias(end), F.col("component").alias(f"c_{end}"))
+
+    ends = found.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    above = connected_components(ends.select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")))
+    above = above.select(F.col("id").alias("component"), F.col("component").alias("top"))
+    lone = above.join(components.select("component").distinct(), "component", "left_anti").select(F.col("component").alias("id"), F.col("top").alias("component"))
+    moved = components.join(above, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+    return stored(moved.unionByName(lone), "joined")

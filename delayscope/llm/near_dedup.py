@@ -168,10 +168,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return frame.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in frame.columns if c != "id"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        likely = stored(
+        likely = (
             pairs.join(side(compact, "b"), "b").join(side(compact, "a"), "a")
             .filter(_estimated("registers_a", "registers_b", "n_a", "n_b") >= PERCENT / 100 - MARGIN)
-            .select("a", "b"), "likely",
+            .select("a", "b")
         )
         both = F.size(F.array_intersect("elements_a", "elements_b"))
         return (
