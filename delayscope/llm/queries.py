@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delayscope.llm import chat_format, decontamination, exact_dedup, line_dedup, near_dedup, packing, toxicity
+from delayscope.llm import chat_format, decontamination, exact_dedup, line_dedup, near_dedup, packing, substring_dedup, toxicity
 from delayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,8 @@ SELECT b.id AS item_id, d.id AS doc_id, any_value(n_item) AS n_item, count(*) AS
 FROM shingles b JOIN shingles d ON d.s = b.s AND d.kind = 'd' JOIN sizes ON sizes.id = b.id
 WHERE b.kind = 'b' GROUP BY b.id, d.id HAVING 100 * count(*) >= 75 * any_value(n_item)
 """
+
+
+@query
+def op7_substring_dedup(spark, sf):
+    return substring_dedup.repeated_bytes(table(spark, sf, "documents"))
