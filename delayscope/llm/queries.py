@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from delayscope.llm import chat_format, decontamination, exact_dedup, line_dedup, near_dedup, packing, substring_dedup, toxicity
+from delayscope.llm import chat_format, decontamination, exact_dedup, line_dedup, near_dedup, packing, quality, revisits, substring_dedup, toxicity
 from delayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +99,74 @@ WHERE b.kind = 'b' GROUP BY b.id, d.id HAVING 100 * count(*) >= 75 * any_value(n
 @query
 def op7_substring_dedup(spark, sf):
     return substring_dedup.repeated_bytes(table(spark, sf, "documents"))
+
+
+@query
+def op4_quality(spark, sf):
+    return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def archive_records(pages):
+    """Two archive records per page: a capture, and a later check that found it not modified.
+
+    One capture in seven is an error page; one check in five names another entity tag, one
+    in four of the rest only a date.
+    """
+    digest = F.sha2(F.coalesce("html", F.lit("")), 256)
+    page = F.col("page_id")
+    tag = F.concat(F.lit('"'), F.substring(digest, 1, 16), F.lit('"'))
+    day = F.concat(F.lit("day "), (page % 1000).cast("string"))
+    capture = F.map_from_arrays(
+        F.array(*map(F.lit, ("content-length", "content-type", "etag", "last-modified", "server"))),
+        F.array(F.octet_length(F.coalesce("html", F.lit(""))).cast("string"), F.lit("text/html"), tag, day, F.lit("a")),
+    )
+    check = F.map_from_arrays(
+        F.array(*map(F.lit, ("cache-control", "content-length", "etag", "last-modified"))),
+        F.array(
+            F.concat(F.lit("max-age="), (page % 100).cast("string")), F.lit("0"),
+            F.when(page % 5 == 0, F.lit('"other"')).when(page % 4 != 0, F.concat(F.lit("W/"), tag)), day,
+        ),
+    )
+    both = F.array(
+        F.struct((2 * page).alias("record_id"), F.lit("response").alias("kind"), (3 * page).alias("at"), F.when(page % 7 == 3, 404).otherwise(200).alias("status"), capture.alias("headers"), digest.alias("payload_digest")),
+        F.struct((2 * page + 1).alias("record_id"), F.lit("revisit").alias("kind"), (3 * page + 4).alias("at"), F.lit(304).alias("status"), check.alias("headers"), F.lit(None).cast("string").alias("payload_digest")),
+    )
+    return pages.select("url", F.explode(both).alias("r")).select("url", "r.*")
+
+
+@query
+def op8_revisits(spark, sf):
+    found = revisits.resolve_revisits(archive_records(table(spark, sf, "pages")))
+    lines = F.transform("headers", lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
+SQL["op8_revisits"] = r"""
+WITH p AS (
+  SELECT page_id, url, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS digest,
+    regexp_extract(trim(coalesce(url, '')), '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)[?]?([^#]*)', ['host', 'path', 'query']) AS u
+  FROM pages),
+k AS (
+  SELECT *, '"' || substr(digest, 1, 16) || '"' AS tag, 'day ' || (page_id % 1000) AS day,
+    regexp_replace(regexp_replace(lower(u.host), '^www[0-9]*[.]', ''), ':(80|443)$', '') || regexp_replace(u.path, '/+$', '') AS base,
+    array_to_string(list_sort(list_filter(string_split(u.query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|sessionid)(=|$)'))), '&') AS q
+  FROM p),
+c AS (SELECT *, base || CASE WHEN q <> '' THEN '?' || q ELSE '' END AS key FROM k),
+full_ones AS (SELECT key, 3 * page_id AS at, 2 * page_id AS id, digest, tag, day, octet_length(encode(html)) AS size FROM c WHERE page_id % 7 <> 3),
+checks AS (
+  SELECT key, 3 * page_id + 4 AS at, 2 * page_id + 1 AS id, page_id, day,
+    CASE WHEN page_id % 5 = 0 THEN '"other"' WHEN page_id % 4 <> 0 THEN tag END AS tag FROM c),
+j AS (
+  SELECT r.*, f.id AS response_id, f.digest, f.tag AS f_tag, f.day AS f_day, f.size,
+    row_number() OVER (PARTITION BY r.id ORDER BY f.at DESC, f.id DESC) AS i
+  FROM checks r LEFT JOIN full_ones f ON f.key = r.key AND (f.at, f.id) < (r.at, r.id)),
+o AS (
+  SELECT *, CASE WHEN response_id IS NULL THEN 'no_response'
+    WHEN CASE WHEN tag IS NOT NULL THEN tag = f_tag ELSE day = f_day END THEN 'resolved' ELSE 'validator_mismatch' END AS outcome
+  FROM j WHERE i = 1)
+SELECT id AS record_id, key AS canonical_url, response_id, outcome,
+  CASE WHEN outcome = 'resolved' THEN digest END AS payload_digest,
+  CASE WHEN outcome = 'resolved' THEN concat_ws(chr(10), 'cache-control: max-age=' || (page_id % 100), 'content-length: ' || size, 'content-type: text/html',
+    'etag: ' || CASE WHEN tag IS NULL THEN f_tag ELSE 'W/' || tag END, 'last-modified: ' || day, 'server: a') END AS headers
+FROM o
+"""
