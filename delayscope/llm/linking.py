@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delayscope.llm.common import stored
 
 #: Each round after the first has this many times the pivots of the round before.
-PIVOT_GROWTH = 4
+PIVOT_GROWTH = 8
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -56,16 +56,18 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
     return stored(buckets.join(pivots, "key").distinct(), "buckets")
 
 
-def link(shared: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link(shared: DataFrame, verify: Callable[[DataFrame], DataFrame], marks: DataFrame | None = None,
+         possible: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """(id, component) of the ids that some verified pair links.
 
     ``shared`` is what ``shared_buckets`` gives, ``verify`` keeps the similar ones of the
     pairs (a, b). Every pair of a bucket is either checked or already connected: first all
     members are checked against the bucket's pivot, and members that end up in one component
     need no check among themselves. Buckets whose other members still lie in several
-    components go on with more pivots, four times as many each round, against members of
+    components go on with more pivots, eight times as many each round, against members of
     other components. A bucket of near copies is done after a pass or two however large it
-    is; only members unlike all others meet every pivot.
+    is; only members unlike all others meet every pivot. ``marks`` (id, mark) with a test
+    ``possible`` of two marks spare these most of the checks.
     """
     rest = shared.filter("id <> pivot")
     pairs = rest.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
@@ -74,13 +76,16 @@ def link(shared: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFra
     while True:
         labelled = rest.join(components, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
         unfinished = labelled.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least <> most")
-        labelled = stored(labelled.join(unfinished.select("key"), "key"), "open-buckets")
+        labelled = labelled.join(unfinished.select("key"), "key")
+        labelled = labelled.withColumn("mark", F.lit(0)) if marks is None else labelled.join(marks, "id")
+        labelled = stored(labelled, "open-buckets")
         if labelled.isEmpty():
             return components
         pivots *= PIVOT_GROWTH
         ranked = labelled.withColumn("i", F.row_number().over(Window.partitionBy("key").orderBy("id")))
-        chosen = stored(ranked.filter(F.col("i") <= pivots).select("key", F.col("id").alias("p"), F.col("c").alias("pc")), "pivots")
-        meet = labelled.join(chosen, "key").filter("c <> pc")
+        chosen = stored(ranked.filter(F.col("i") <= pivots).select("key", F.col("id").alias("p"), F.col("c").alias("pc"), F.col("mark").alias("p_mark")), "pivots")
+        likely = F.lit(True) if possible is None else possible(F.col("mark"), F.col("p_mark"))
+        meet = labelled.join(chosen, "key").filter((F.col("c") != F.col("pc")) & likely)
         pairs = meet.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
         found = stored(verify(pairs), "verified")
         rest = labelled.join(chosen.select("key", F.col("p").alias("id")), ["key", "id"], "left_anti").select("key", "id")

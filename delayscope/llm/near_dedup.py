@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -22,13 +22,16 @@ from delayscope.llm.common import stored
 from delayscope.llm.linking import link, shared_buckets
 from delayscope.llm.shingles import WORDS, WordHashes, mix, shingle_set, words_of
 
+#: Lowest bits of registers that make a mark, 64 to a word, and in how many similar sets may differ.
+MARK_WORDS, MARK_DIFFERENCES = 3, 50
+
 BASE, RATE, TOP = 1.001, 20.0, 65535
-#: 32 bands of three registers: at similarity 0.75 a pair shares no band once in 4e7.
-ROWS, BANDS = 3, 32
+#: 40 bands of five registers: at similarity 0.75 a pair shares no band once in 5e4.
+ROWS, BANDS = 5, 40
 REGISTERS = ROWS * BANDS
 PERCENT = 75
-#: Pairs whose estimate is this far below the threshold are not checked: over five
-#: standard deviations of an estimate from 96 registers.
+#: Pairs whose estimate is this far below the threshold are not checked: over eight
+#: standard deviations of an estimate from 200 registers.
 MARGIN = 0.25
 
 _seeds = mix(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64))
@@ -98,7 +101,8 @@ def sketches(docs: DataFrame) -> DataFrame:
                     held += len(s)
                 if block and (held >= _BLOCK or i == len(sets) - 1):
                     for k, row in zip(block, sketch([sets[k] for k in block])):
-                        registers[k] = row.tobytes()
+                        # The registers, then their lowest bits.
+                        registers[k] = row.tobytes() + np.packbits(row & 1).tobytes()
                     block, held = [], 0
             yield pa.record_batch([
                 batch.column(0),
@@ -127,10 +131,26 @@ def shingle_table(docs: DataFrame) -> DataFrame:
 def _estimated(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series) -> pd.Series:
     if not len(a):
         return pd.Series([], dtype=float)
-    left, right = (np.frombuffer(b"".join(s), np.uint16).reshape(len(s), REGISTERS) for s in (a, b))
+    left, right = (np.frombuffer(b"".join(x[:2 * REGISTERS] for x in s), np.uint16).reshape(len(s), REGISTERS) for s in (a, b))
     return pd.Series(estimate(left, right, n_a.to_numpy(float), n_b.to_numpy(float)))
 
 
+def parities(registers: str) -> Column:
+    """The lowest bits of the registers, 64 to a number."""
+    words = [F.conv(F.hex(F.substring(registers, 16 * REGISTERS // 8 + 1 + 8 * i, 8)), 16, -10).cast("long") for i in range(MARK_WORDS)]
+    return F.array(*words)
+
+
+def possible(a: Column, b: Column) -> Column:
+    """Whether two marks (size, parities) can belong to similar sets.
+
+    Registers that differ agree in their lowest bit half the time. Similar sets differ in
+    24 of 192 bits on average; over five standard deviations more are allowed.
+    """
+    differing = sum((F.bit_count(a["bits"][i].bitwiseXOR(b["bits"][i])) for i in range(MARK_WORDS)), F.lit(0))
+    return (PERCENT * F.greatest(a["n"], b["n"]) <= 100 * F.least(a["n"], b["n"])) & (differing <= MARK_DIFFERENCES)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Component of every document (doc_id, text) under shingle-set similarity >= 0.75.
 
@@ -170,6 +190,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     def verify(pairs: DataFrame) -> DataFrame:
         likely = (
             pairs.join(side(compact, "b"), "b").join(side(compact, "a"), "a")
+            .filter(PERCENT * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
             .filter(_estimated("registers_a", "registers_b", "n_a", "n_b") >= PERCENT / 100 - MARGIN)
             .select("a", "b")
         )
@@ -180,7 +201,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("a", "b").distinct()
         )
 
-    components = stored(link(shared, verify), "components").select(F.col("id").alias("node"), "component")
+    marks = compact.select("id", F.struct("n", parities("registers").alias("bits")).alias("mark"))
+    components = stored(link(shared, verify, marks, possible), "components").select(F.col("id").alias("node"), "component")
     linked = members.join(components, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id")
     )
