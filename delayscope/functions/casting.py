@@ -20,15 +20,19 @@ def clean_text(value: Column | str) -> Column:
 def number(value: Column | str) -> Column:
     """Text as double; blank or unparsable text, and NaN, become NULL."""
     text = F.trim(as_column(value).cast("string"), F.lit(_BLANKS))
-    # The JVM parser accepts a trailing type letter ("10d"); that is not a number here.
-    plain = F.when(~F.substring(text, -1, 1).isin("d", "D", "f", "F"), text)
+    # The JVM parser accepts a trailing type letter ("10d") and hexadecimal floats
+    # ("0x1p3"); those are not numbers here.
+    plain = F.when(~F.substring(text, -1, 1).isin("d", "D", "f", "F") & (F.instr(F.lower(text), "x") == 0), text)
     parsed = plain.try_cast("double")
     return F.when(~F.isnan(parsed), parsed)
 
 
 def whole(value: Column | str) -> Column:
-    """Text as integer, cutting a fraction off: '12.0' and '12.7' are both 12."""
-    return number(value).try_cast("int")
+    """Text as a 64-bit integer, cutting a fraction off: '12.0' and '12.7' are both 12.
+
+    NULL where there is no number, and where it is beyond 64 bits.
+    """
+    return number(value).try_cast("bigint")
 
 
 def number_or_zero(value: Column | str) -> Column:
@@ -36,7 +40,8 @@ def number_or_zero(value: Column | str) -> Column:
 
 
 def whole_or_zero(value: Column | str) -> Column:
-    return F.coalesce(whole(value), F.lit(0))
+    """0 where there is no number; NULL where there is one that 64 bits cannot hold."""
+    return F.when(number(value).isNull(), F.lit(0).cast("bigint")).otherwise(whole(value))
 
 
 def first_filled(*values: Column | str) -> Column:

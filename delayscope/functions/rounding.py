@@ -30,8 +30,8 @@ def binary_round(value: Column | str, digits: int) -> Column:
     tie = rest == F.lit(0.5)
     up = (rest > 0.5) | (tie & (lost > 0)) | (tie & (lost == 0) & (F.pmod(below, F.lit(2.0)) == 1))
     rounded = F.when(up, below + 1).otherwise(below) / scale
-    # Doubles this large have no fraction left to round (and would overflow the floor).
-    return F.when(F.abs(x) < F.lit(1e11), rounded).otherwise(x)
+    # Scaled doubles this large are whole already (and would overflow the floor).
+    return F.when(F.abs(scaled) < F.lit(2.0**52), rounded).otherwise(x)
 
 
 def number_text(value: Column | str, digits: int = 2) -> Column:

@@ -294,8 +294,9 @@ def quality_profile(raw: DataFrame) -> DataFrame:
 def missing_causes(raw: DataFrame, per: str) -> DataFrame:
     """Late flights without any cause, per file (or other column) and in total.
 
-    The total row has a NULL ``per``. The roll-up runs over one row per file, so it does
-    not multiply the facts.
+    ``is_total`` is 1 on the total row, whose ``per`` is NULL, and 0 elsewhere, also where
+    ``per`` itself is NULL. The roll-up runs over one row per file, so it does not multiply
+    the facts.
     """
     late = F.col("ARR_DELAY") > 0
     per_file = raw.groupBy(per).agg(
@@ -307,7 +308,7 @@ def missing_causes(raw: DataFrame, per: str) -> DataFrame:
     counts = [c for c in per_file.columns if c != per]
     return (
         per_file.rollup(per)
-        .agg(*(F.sum(c).alias(c) for c in counts))
+        .agg(F.grouping(per).cast("int").alias("is_total"), *(F.sum(c).alias(c) for c in counts))
         .withColumn("all_causes_null_pct", F.coalesce(percent("all_causes_null", "positive_delay_rows"), F.lit(0.0)))
     )
 

@@ -148,9 +148,9 @@ def normalise_iterations(rows: DataFrame) -> DataFrame:
     """
     require_columns(rows, ["worker_count", "query", "impl", "phase", "time_s"], "iterations")
     runs = [c for c in ("iteration", "iteration_idx", "run") if c in rows.columns]
-    iteration = whole_or_zero(first_filled(*runs)) if runs else F.lit(0)
+    iteration = whole_or_zero(first_filled(*runs)) if runs else F.lit(0).cast("bigint")
     return rows.select(
-        whole("worker_count").alias("worker_count"),
+        whole("worker_count").try_cast("int").alias("worker_count"),
         *(value.alias(name) for name, value in _texts().items()),
         iteration.alias("iteration"),
         number("time_s").alias("time_s"),
@@ -161,7 +161,7 @@ def normalise_stats(rows: DataFrame) -> DataFrame:
     """Typed statistics rows with the derived algorithm and note."""
     require_columns(rows, [*GROUP, "phase", *STATS], "phase statistics")
     typed = rows.select(
-        whole("worker_count").alias("worker_count"),
+        whole("worker_count").try_cast("int").alias("worker_count"),
         *(value.alias(name) for name, value in _texts().items()),
         whole("n").alias("n"),
         *(number(c).alias(c) for c in STATS[1:]),
@@ -193,16 +193,23 @@ def read_reports(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.option("header", True).option("enforceSchema", False).csv(pattern)
 
 
-def drop_warmup(log: DataFrame, warmup: int, keys: Sequence[str] = ("query", "impl"), run: str = "run_id",
-                bucket: int = 1_000_000) -> DataFrame:
+def drop_warmup(log: DataFrame, warmup: int, keys: Sequence[str] = tuple(GROUP), run: str = "run_id",
+                bucket: int = 1_000_000, numbered: bool = False) -> DataFrame:
     """Without the first ``warmup`` runs of each group, the others renumbered from 1.
 
-    Runs are numbered bucket by bucket of the run id, so a long group stays distributed.
+    A run is a run id of a group; all its rows, one per phase, stay or go together. Only
+    the distinct runs are numbered, bucket by bucket of the run id, and joined back to the
+    rows. ``numbered`` says that run ids are 1, 2, 3, ... already in every group: then this
+    is a filter. Rows without a run id belong to no run and go.
     """
-    numbered = number_rows(log, keys, [F.floor(F.col(run) / bucket)], [run], "_run")
-    return numbered.where(F.col("_run") > warmup).select(
-        *log.columns, (F.col("_run") - warmup).alias("iteration")
-    )
+    if numbered:
+        place = F.col(run).cast("long")
+        return log.where(place > warmup).select("*", (place - warmup).alias("iteration"))
+    spot = F.struct(*keys, run)
+    runs = number_rows(
+        log.select(*keys, run).where(F.col(run).isNotNull()).distinct(), keys, [F.floor(F.col(run) / bucket)], [run], "_run"
+    ).where(F.col("_run") > warmup).select(spot.alias("_spot"), (F.col("_run") - warmup).alias("iteration"))
+    return log.withColumn("_spot", spot).join(runs, "_spot").select(*log.columns, "iteration")
 
 
 # --- statistics -----------------------------------------------------------------------

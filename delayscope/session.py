@@ -24,24 +24,25 @@ SETTINGS = {
 }
 
 
-_SCAN_SPLIT = 512 << 20
+_LEAST_SPLIT = 128 << 20
+_SCAN_TASKS = 200_000
 _SHUFFLE_SHARE = 256 << 20
 
 
 def settings_for_input(input_bytes: int, shuffled_share: float = 0.25) -> dict[str, str]:
     """Split and shuffle sizes for an input of this size, to pass as ``extra``.
 
-    Large inputs are read in larger splits, so that tasks count in the hundred thousands,
-    not millions. Jobs that move records (duplicate audit, row numbering) start with
+    Splits grow with the input once it would take more than two hundred thousand of the
+    usual size, so that tasks do not count in the millions. Jobs that move records (duplicate audit, row numbering) start with
     enough shuffle partitions to keep each near a quarter gigabyte; adaptive execution
     merges them again where only aggregates move. ``shuffled_share`` is the part of the
     input's bytes that a job moves.
     """
-    partitions = max(200, min(20_000, round(input_bytes * shuffled_share / _SHUFFLE_SHARE)))
-    settings = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions)}
-    if input_bytes > 1 << 40:
-        settings["spark.sql.files.maxPartitionBytes"] = str(_SCAN_SPLIT)
-    return settings
+    partitions = max(200, round(input_bytes * shuffled_share / _SHUFFLE_SHARE))
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(max(_LEAST_SPLIT, input_bytes // _SCAN_TASKS)),
+    }
 
 
 def build_session(

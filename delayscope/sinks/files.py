@@ -41,14 +41,11 @@ def write_csv(df: DataFrame, path: str, order_by: Sequence[str] = (), single_fil
 
 
 def publish_feed(df: DataFrame, path: str, feed: str) -> None:
-    """Replace one feed of the feed table and leave the others; publishing twice changes nothing."""
-    (
-        df.withColumn("feed", F.lit(feed))
-        .write.mode("overwrite")
-        .partitionBy("feed")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    """Replace one feed of the feed table and leave the others; publishing twice changes nothing.
+
+    The feed's own directory is overwritten, so a feed that has become empty leaves no rows.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/feed={feed}")
 
 
 def land_members(rows: DataFrame, path: str, member: str = "member") -> None:

@@ -52,7 +52,7 @@ def read_by_name(spark: SparkSession, path: Paths) -> DataFrame:
 def convert_by_name(text: DataFrame) -> DataFrame:
     """The by-name conversions on a frame of text columns."""
     return text.withColumns(
-        {name: whole(name) for name in BY_NAME_WHOLE} | {name: number(name) for name in BY_NAME_NUMBER}
+        {name: whole(name).try_cast("int") for name in BY_NAME_WHOLE} | {name: number(name) for name in BY_NAME_NUMBER}
     )
 
 

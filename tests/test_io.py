@@ -151,6 +151,8 @@ def test_feeds_are_replaced_one_by_one(spark, tmp_path):
     for df, feed in ((one, "x"), (two, "y"), (one, "x")):
         sinks.publish_feed(df, f"{tmp_path}/f", feed)
     assert sorted((r["key"], r["feed"]) for r in dicts(spark.read.parquet(f"{tmp_path}/f"))) == [("a", "x"), ("b", "y")]
+    sinks.publish_feed(one.limit(0), f"{tmp_path}/f", "x")
+    assert [(r["key"], r["feed"]) for r in dicts(spark.read.parquet(f"{tmp_path}/f"))] == [("b", "y")]
 
 
 class Session:

@@ -106,5 +106,6 @@ def test_examples_are_the_first_in_order(spark):
 
 def test_missing_causes_per_file_and_total(spark):
     found = by(quality.missing_causes(sample(spark), "MONTH"), "MONTH")
+    assert found[(7,)]["is_total"] == 0 and found[(None,)]["is_total"] == 1
     assert found[(7,)]["all_causes_null"] == 1 and found[(7,)]["all_causes_null_pct"] == 100.0
     assert (found[(None,)]["positive_delay_rows"], found[(None,)]["all_causes_null"]) == (6, 2)

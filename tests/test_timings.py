@@ -63,6 +63,14 @@ def test_warmup_is_dropped_and_runs_renumbered(spark):
     assert {r["run_id"]: r["iteration"] for r in dicts(found)} == {3 * (i + 5): i + 1 for i in range(15)}
 
 
+def test_warmup_counts_runs_not_rows(spark):
+    rows = [(w, "Q1", "df", p, i, 1.0) for w in (1, 2) for p in ("a", "b") for i in range(1, 9)]
+    df = log(spark, rows).withColumnRenamed("iteration", "run_id")
+    for numbered in (False, True):
+        found = dicts(t.drop_warmup(df, 5, numbered=numbered))
+        assert len(found) == 12 and {r["iteration"] for r in found} == {1, 2, 3}
+
+
 def test_processing_needs_all_its_parts(spark):
     df = stats(
         spark,

@@ -445,10 +445,10 @@ def all_sql() -> dict[str, str]:
         MONTHLY, DEPARTED, EXTREMES,
     )
     coerced = _TEXT_NUMBER.format(c="time_s")
-    workers = f"CAST(trunc({_TEXT_NUMBER.format(c='worker_count')}) AS INT)"
+    workers = f"CAST(trunc({_TEXT_NUMBER.format(c='worker_count')}) AS BIGINT)"
     sql["dq_coerce"] = _with(
         f"SELECT event_id, {coerced} AS time_value, coalesce({coerced}, 0.0E0) AS time_or_zero, "
-        f"{workers} AS workers, coalesce({workers}, 0) AS workers_or_zero FROM textlog",
+        f"{workers} AS workers, coalesce({workers}, 0) AS workers_or_zero, event_id * 3000000000 AS large FROM textlog",
         TEXT,
     )
     sql["hhmm_hour"] = _raw(
@@ -510,7 +510,7 @@ def all_sql() -> dict[str, str]:
         f"{_reconcile_row('gt_0')} UNION ALL {_reconcile_row('ge_15')}", ("r", _columns(RECONCILE_METRICS))
     )
     sql["dq_missing_causes"] = _raw(
-        'SELECT mon AS "MONTH", count(*) AS total_rows, '
+        'SELECT mon AS "MONTH", CAST(grouping(mon) AS INT) AS is_total, count(*) AS total_rows, '
         f"{_n('arr_delay > 0')} AS positive_delay_rows, {_n(f'arr_delay > 0 AND {ALL_NULL}')} AS all_causes_null, "
         f"{_n(f'arr_delay > 0 AND NOT {ALL_NULL}')} AS at_least_one_cause, "
         f"coalesce({_n(f'arr_delay > 0 AND {ALL_NULL}')} / nullif({_n('arr_delay > 0')}, 0) * 100.0E0, 0.0E0) "
@@ -622,13 +622,13 @@ def all_sql() -> dict[str, str]:
 
     sql["bench_normalise"] = _with(
         f"SELECT *, {ALGORITHM} AS algorithm, {NOTE} AS note FROM ("
-        f"SELECT {workers} AS worker_count, upper(trim(query)) AS query, lower(trim(impl)) AS impl, trim(phase) AS phase, "
-        "coalesce(CAST(coalesce(nullif(trim(iteration), ''), nullif(trim(iteration_idx), ''), nullif(trim(run), '')) AS INT), 0) "
+        f"SELECT CAST({workers} AS INT) AS worker_count, upper(trim(query)) AS query, lower(trim(impl)) AS impl, trim(phase) AS phase, "
+        "coalesce(CAST(coalesce(nullif(trim(iteration), ''), nullif(trim(iteration_idx), ''), nullif(trim(run), '')) AS BIGINT), 0) "
         f"AS iteration, {coerced} AS time_s FROM textlog) t WHERE worker_count IS NOT NULL AND time_s IS NOT NULL",
         TEXT,
     )
     sql["bench_normalise_stats"] = _with(
-        "SELECT worker_count, query, impl, phase, CAST(n AS INT) AS n, mean_s, std_s, median_s, min_s, max_s, "
+        "SELECT worker_count, query, impl, phase, n, mean_s, std_s, median_s, min_s, max_s, "
         f"{ALGORITHM} AS algorithm, {NOTE} AS note FROM stats",
         LOG, STATS,
     )
@@ -659,7 +659,8 @@ def all_sql() -> dict[str, str]:
     )
     sql["bench_warmup_drop"] = _with(
         "SELECT worker_count, query, impl, phase, run_id, time_s, place - 5 AS iteration FROM "
-        "(SELECT *, row_number() OVER (PARTITION BY query, impl ORDER BY run_id) AS place FROM tlog) t WHERE place > 5",
+        "(SELECT *, dense_rank() OVER (PARTITION BY worker_count, query, impl ORDER BY run_id) AS place "
+        "FROM (SELECT * REPLACE (run_id // 60 AS run_id) FROM tlog) r) t WHERE place > 5",
         TLOG,
     )
     sql["bench_union"] = _with(

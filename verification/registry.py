@@ -111,7 +111,7 @@ def output_ready(spark, sf):
 
 @query
 def feed_republish(spark, sf):
-    """Two feeds published, one of them again: the other stays, nothing doubles."""
+    """Feeds published, one again, one emptied: the others stay, nothing doubles or is left over."""
     path = scratch_path(spark, "feeds")
     flights = inputs.flights(spark, sf)
     points = feeds.monthly_values(monthly.monthly_stats(flights))
@@ -119,6 +119,8 @@ def feed_republish(spark, sf):
     sinks.publish_feed(points, path, "q1")
     sinks.publish_feed(extremes, path, "q3")
     sinks.publish_feed(points, path, "q1")
+    sinks.publish_feed(extremes, path, "gone")
+    sinks.publish_feed(extremes.limit(0), path, "gone")
     return spark.read.parquet(path)
 
 
@@ -138,6 +140,7 @@ def dq_coerce(spark, sf):
         number_or_zero("time_s").alias("time_or_zero"),
         whole("worker_count").alias("workers"),
         whole_or_zero("worker_count").alias("workers_or_zero"),
+        whole_or_zero((F.col("event_id") * 3_000_000_000).cast("string")).alias("large"),
     )
 
 
@@ -493,7 +496,9 @@ def bench_box_rows(spark, sf):
 
 @query
 def bench_warmup_drop(spark, sf):
-    return timings.drop_warmup(inputs.tlog(spark, sf), warmup=5, bucket=65_536)
+    """Runs of several phases each, at several worker counts."""
+    log = inputs.tlog(spark, sf).withColumn("run_id", F.expr("run_id div 60"))
+    return timings.drop_warmup(log, warmup=5, bucket=65_536)
 
 
 @query
