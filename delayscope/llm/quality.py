@@ -221,7 +221,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
     y = np.array(sample.column("label").to_pylist(), float)
     share = float((y != 0).mean()) if len(y) else 0.5
     network = None
-    if 0 < share < 1:
+    if len(y) and 0 < share < 1:
         network = Network(2 * DIMENSIONS).fit(np.array(sample.column("x").to_pylist(), float), (y != 0).astype(float))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
