@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -189,8 +190,16 @@ def stack_reports(reports: Sequence[DataFrame]) -> DataFrame:
 
 
 def read_reports(spark: SparkSession, pattern: str) -> DataFrame:
-    """All report files a glob matches. Absent and empty files simply add no rows."""
-    return spark.read.option("header", True).option("enforceSchema", False).csv(pattern)
+    """All report files a glob matches. Absent and empty files simply add no rows.
+
+    Where nothing matches, a table of a report's columns without rows.
+    """
+    try:
+        return spark.read.option("header", True).option("enforceSchema", False).csv(pattern)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in (*GROUP, "phase", *STATS)))
 
 
 def drop_warmup(log: DataFrame, warmup: int, keys: Sequence[str] = tuple(GROUP), run: str = "run_id",

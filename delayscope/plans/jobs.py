@@ -25,7 +25,7 @@ from delayscope.schema import (
     PERCENTILE_COLUMNS,
 )
 from delayscope.sinks import files as sinks
-from delayscope.sinks.scratch import scratch_path
+from delayscope.sinks.scratch import discard, scratch_path
 from delayscope.sources import files as sources
 
 MONTHLY = "query1_monthly_stats"
@@ -86,17 +86,21 @@ def hourly_job(spark: SparkSession, processed_path: str, out: str,
         hourly.percentiles_from_counts(counts, probabilities), f"{out}/{PERCENTILES}", HOURLY_KEYS, single_file=True
     )
     sinks.write_csv(hourly.extremes_from_counts(counts), f"{out}/{EXTREMES}", ["airline"], single_file=True)
+    discard(spark, stored)
 
 
 def quality_job(spark: SparkSession, raw_path: str, out: str) -> None:
     """The whole quality profile of raw CSV files, one table per report."""
-    raw = sources.read_raw(spark, raw_path)
+    parsed = scratch_path(spark, "parsed-flights")
+    # Text is parsed once; every report then reads only the columns it needs.
+    sources.with_source_file(sources.read_raw(spark, raw_path)).write.parquet(parsed)
+    raw = spark.read.parquet(parsed)
     quality.quality_profile(raw).write.mode("overwrite").parquet(f"{out}/profile")
     quality.row_counts(raw).write.mode("overwrite").parquet(f"{out}/row_counts")
     quality.duplicate_audit(raw).write.mode("overwrite").parquet(f"{out}/duplicates")
     quality.examples(raw).write.mode("overwrite").parquet(f"{out}/examples")
-    per_file = quality.missing_causes(sources.with_source_file(raw), "source_file")
-    per_file.write.mode("overwrite").parquet(f"{out}/missing_causes")
+    quality.missing_causes(raw, "source_file").write.mode("overwrite").parquet(f"{out}/missing_causes")
+    discard(spark, parsed)
 
 
 def results_status(spark: SparkSession, out: str) -> DataFrame:
@@ -106,7 +110,7 @@ def results_status(spark: SparkSession, out: str) -> DataFrame:
 
 def feeds_job(spark: SparkSession, results: str, out: str, year: int = 2025,
               months: Sequence[int] = (1, 2, 3, 4)) -> None:
-    """Serving tables from the stored results: values, series and the ranking."""
+    """Serving tables from the stored results: values, series, and one table of keyed rows per result."""
     one, two, three, four = (
         _stored(spark, results, name) for name in (MONTHLY, TOP_CARRIERS, PERCENTILES, EXTREMES)
     )
@@ -116,7 +120,14 @@ def feeds_job(spark: SparkSession, results: str, out: str, year: int = 2025,
         sinks.publish_feed(values.withColumn("value", F.col("value").cast("string")), f"{out}/values", feed)
 
     publish(feeds.monthly_values(one), "q1")
-    publish(feeds.ranked_values(feeds.ranked_carriers(two)), "q2")
+    ranked = feeds.ranked_carriers(two)
+    publish(feeds.ranked_values(ranked), "q2")
     publish(feeds.hourly_values(three).unionByName(feeds.extreme_values(four)), "q3")
     sinks.publish_feed(feeds.monthly_series(one, year, months), f"{out}/series", "q1")
     sinks.publish_feed(feeds.hourly_series(three, f"{year}-01-01"), f"{out}/series", "q3")
+    rows = {
+        "monthly_rows": feeds.monthly_rows(one), "ranked_rows": feeds.ranked_rows(ranked), "hourly_rows": feeds.hourly_rows(three),
+        "extreme_rows": feeds.extreme_rows(four), "cause_shares": feeds.cause_shares(ranked),
+    }
+    for name, keyed in rows.items():
+        keyed.write.mode("overwrite").parquet(f"{out}/{name}")

@@ -12,35 +12,35 @@ from pyspark.sql.types import (
 
 # --- fixed values: names and types of the published on-time record layout ---
 
-_RAW_LAYOUT = """
-YEAR int
-MONTH int
-DAY_OF_MONTH int
-OP_UNIQUE_CARRIER string
-OP_CARRIER_FL_NUM int
-ORIGIN_AIRPORT_ID int
-ORIGIN_CITY_MARKET_ID int
-ORIGIN_STATE_ABR string
-DEST_AIRPORT_ID int
-DEST_CITY_MARKET_ID int
-DEST_STATE_ABR string
-CRS_DEP_TIME int
-DEP_TIME double
-DEP_DELAY double
-CRS_ARR_TIME int
-ARR_TIME double
-ARR_DELAY double
-CANCELLED double
-CANCELLATION_CODE string
-DIVERTED double
-ACTUAL_ELAPSED_TIME double
-DISTANCE double
-CARRIER_DELAY double
-WEATHER_DELAY double
-NAS_DELAY double
-SECURITY_DELAY double
-LATE_AIRCRAFT_DELAY double
-"""
+RAW_SCHEMA = StructType([
+    StructField("YEAR", IntegerType()),
+    StructField("MONTH", IntegerType()),
+    StructField("DAY_OF_MONTH", IntegerType()),
+    StructField("OP_UNIQUE_CARRIER", StringType()),
+    StructField("OP_CARRIER_FL_NUM", IntegerType()),
+    StructField("ORIGIN_AIRPORT_ID", IntegerType()),
+    StructField("ORIGIN_CITY_MARKET_ID", IntegerType()),
+    StructField("ORIGIN_STATE_ABR", StringType()),
+    StructField("DEST_AIRPORT_ID", IntegerType()),
+    StructField("DEST_CITY_MARKET_ID", IntegerType()),
+    StructField("DEST_STATE_ABR", StringType()),
+    StructField("CRS_DEP_TIME", IntegerType()),
+    StructField("DEP_TIME", DoubleType()),
+    StructField("DEP_DELAY", DoubleType()),
+    StructField("CRS_ARR_TIME", IntegerType()),
+    StructField("ARR_TIME", DoubleType()),
+    StructField("ARR_DELAY", DoubleType()),
+    StructField("CANCELLED", DoubleType()),
+    StructField("CANCELLATION_CODE", StringType()),
+    StructField("DIVERTED", DoubleType()),
+    StructField("ACTUAL_ELAPSED_TIME", DoubleType()),
+    StructField("DISTANCE", DoubleType()),
+    StructField("CARRIER_DELAY", DoubleType()),
+    StructField("WEATHER_DELAY", DoubleType()),
+    StructField("NAS_DELAY", DoubleType()),
+    StructField("SECURITY_DELAY", DoubleType()),
+    StructField("LATE_AIRCRAFT_DELAY", DoubleType()),
+])
 
 CAUSES = ["CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY", "SECURITY_DELAY", "LATE_AIRCRAFT_DELAY"]
 
@@ -60,15 +60,6 @@ RAW_FILE_PATTERN = "20250*_T_ONTIME_REPORTING.csv"
 
 # --- end of fixed values ---
 
-_TYPES = {"int": IntegerType, "double": DoubleType, "string": StringType}
-
-RAW_SCHEMA = StructType(
-    [
-        StructField(name, _TYPES[kind](), True)
-        for name, kind in (line.split() for line in _RAW_LAYOUT.split("\n") if line)
-    ]
-)
-
 # Columns a by-name read converts from text; the rest stay text.
 BY_NAME_WHOLE = ["YEAR", "MONTH", "DAY_OF_MONTH", "CRS_DEP_TIME"]
 BY_NAME_NUMBER = ["DEP_DELAY", "ARR_DELAY", *FLAGS, *CAUSES]

@@ -27,3 +27,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         _local_root.append(tempfile.mkdtemp(prefix="delayscope-"))
         atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
     return f"{_local_root[0]}/{label}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -185,6 +185,9 @@ def test_whole_pipeline(spark, tmp_path, small):
     values = spark.read.parquet(f"{served}/values").groupBy("feed").count()
     assert {r["feed"] for r in dicts(values)} == {"q1", "q2", "q3"}
     assert spark.read.parquet(f"{served}/series").where("feed = 'q3'").count() == 5 * status[jobs.PERCENTILES]["rows"]
+    for feed, result in (("monthly_rows", jobs.MONTHLY), ("ranked_rows", jobs.TOP_CARRIERS), ("hourly_rows", jobs.PERCENTILES), ("extreme_rows", jobs.EXTREMES)):
+        assert spark.read.parquet(f"{served}/{feed}").count() == status[result]["rows"]
+    assert spark.read.parquet(f"{served}/cause_shares").select("rank").distinct().count() == 10
     top = sources.read_result(spark, f"{out}/{jobs.TOP_CARRIERS}")
     means = [float(r["arrdelay_mean"]) for r in top.collect()]
     assert means == sorted(means, reverse=True) and len(means) == 10

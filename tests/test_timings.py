@@ -168,3 +168,8 @@ def test_stacked_reports_fill_missing_columns(spark):
     one = log(spark, [(1, "Q1", "df", "p", 1, 1.0)])
     stacked = t.stack_reports([one, one.drop("iteration")])
     assert sorted(r["iteration"] or 0 for r in dicts(stacked)) == [0, 1]
+
+
+def test_absent_reports_add_no_rows(spark, tmp_path):
+    found = t.read_reports(spark, f"{tmp_path}/none/*.csv")
+    assert found.count() == 0 and t.normalise_stats(found).count() == 0

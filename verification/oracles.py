@@ -9,16 +9,23 @@ from __future__ import annotations
 from verification import views
 
 CAUSES = ["carrier_delay", "weather_delay", "nas_delay", "security_delay", "late_aircraft_delay"]
-PHASES = [
-    "spark_start_s", "loading_s", "filtering_s", "computation_s", "all_airlines_computation_s",
-    "top10_computation_s", "computation_percentiles_s", "computation_minmax_s", "output_s", "total_s",
-    "wall_total_s", "end_to_end_s", "spark_stop_s",
-]
-LABELS = [
-    "Spark start", "Loading", "Filtering", "Computation", "All-airlines computation",
-    "Top-10 computation", "Percentiles computation", "Min/max computation", "Output", "Total",
-    "Wall total", "End-to-end", "Spark stop",
-]
+# The phases of a timing log in order, and how reports name them.
+PHASE_LABELS = {
+    "spark_start_s": "Spark start",
+    "loading_s": "Loading",
+    "filtering_s": "Filtering",
+    "computation_s": "Computation",
+    "all_airlines_computation_s": "All-airlines computation",
+    "top10_computation_s": "Top-10 computation",
+    "computation_percentiles_s": "Percentiles computation",
+    "computation_minmax_s": "Min/max computation",
+    "output_s": "Output",
+    "total_s": "Total",
+    "wall_total_s": "Wall total",
+    "end_to_end_s": "End-to-end",
+    "spark_stop_s": "Spark stop",
+}
+PHASES, LABELS = list(PHASE_LABELS), list(PHASE_LABELS.values())
 KEY = ["yr", "mon", "dom", "carrier", "flight_num", "origin_id", "dest_id", "crs_dep_time"]
 LAYOUT = {
     "yr": "YEAR", "mon": "MONTH", "dom": "DAY_OF_MONTH", "carrier": "OP_UNIQUE_CARRIER",

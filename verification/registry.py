@@ -416,6 +416,7 @@ def feed_last_wins(spark, sf):
     return feeds.latest_points(events, ["event_type", "ts"], "value", "event_id")
 
 
+# The columns of a stored report, and how a feed shows them.
 JSON_SCHEMA = (
     "worker_count int, query string, impl string, phase string, n bigint, mean_s double, "
     "std_s double, median_s double, min_s double, max_s double, algorithm string, note string"
