@@ -2,9 +2,9 @@
 
 The question is how much of a short item lies inside a document of any length. Documents
 are partitioned by the size of their shingle set; a partition's signature is a MinHash in
-as many bins as its largest set has shingles, several times over, so that a signature
-always resolves a document as finely as a short one. An item's shingles are then looked up
-among a document's minima, and what is found is verified on the shingles themselves.
+many more bins than its largest set has shingles, so that it always resolves a long document
+as finely as a short one. An item's shingles are then looked up among a document's minima,
+and what is found is verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -17,40 +17,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayscope.llm.common import stored
-from delayscope.llm.shingles import WORDS, WordHashes, mix, shingle_set, words_of
+from delayscope.llm.shingles import WORDS, WordHashes, shingle_set, words_of
 
 PERCENT = 75
-#: Bins per shingle of the largest set of a partition, and independent signatures. A shared
-#: shingle is no minimum of its bin once in 32 times at most, in both signatures once in a
-#: thousand; an item of ten shingles, eight of them shared, is missed once in 1e24 times.
-BINS_PER_SHINGLE = 16
-SIGNATURES = 2
+#: Bins per shingle of the largest set of a partition. A shared shingle is no minimum of its
+#: bin once in 2,000 times at most; an item of ten shingles, eight of them shared, is missed
+#: once in 1e26 times. Bins cost nothing: only those that hold something are looked at.
+BINS_PER_SHINGLE = 1024
 #: Items searched for in one pass over the documents: bounds what is broadcast, at about
 #: a megabyte per thousand items.
 BLOCK_ITEMS = 20_000
 
-_SALTS = mix(np.arange(1, SIGNATURES + 1, dtype=np.uint64)) | np.uint64(1)
-
-
 def partition_bits(size: int) -> int:
     """The partition of a set: sizes up to 2^k, k = 0, 1, 2, ..."""
     return max(0, int(size - 1).bit_length()) if size else 0
 
 
-def minima(elements: np.ndarray, salt: np.uint64) -> np.ndarray:
-    """The minima of the non-empty bins of a one-permutation MinHash.
+def minima(elements: np.ndarray) -> np.ndarray:
+    """The minima of the non-empty bins of a one-permutation MinHash of sorted hashes.
 
-    The bins are ranges of the permuted hash: the first of the sorted values in each range
-    is its minimum. Their number follows from the partition of the set's size.
+    The bins are ranges of the hash: the first value in each range is its minimum. Their
+    number follows from the partition of the set's size.
     """
-    permuted = np.sort(mix(elements * salt))
-    bits = partition_bits(len(permuted)) + BINS_PER_SHINGLE.bit_length() - 1
-    bins = permuted >> np.uint64(64 - min(bits, 63))
-    return permuted[np.concatenate([[True], bins[1:] != bins[:-1]])] if len(permuted) else permuted
+    if not len(elements):
+        return elements
+    bits = partition_bits(len(elements)) + BINS_PER_SHINGLE.bit_length() - 1
+    bins = elements >> np.uint64(64 - min(bits, 63))
+    return elements[np.concatenate([[True], bins[1:] != bins[:-1]])]
 
 
 class Index:
-    """Items by the permuted hashes of their shingles; exact shingles for the verification."""
+    """Items by the hashes of their shingles; exact shingles for the verification."""
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         hashes = WordHashes()
@@ -59,24 +56,20 @@ class Index:
         sets = [shingle_set(words_of(t), hashes) for _, t in items]
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         elements = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-        self.tables = []
-        for salt in _SALTS:
-            permuted = mix(elements * salt)
-            order = np.argsort(permuted)
-            self.tables.append((permuted[order], owner[order]))
+        order = np.argsort(elements)
+        self.keys, self.owner = elements[order], owner[order]
 
     def candidates(self, elements: np.ndarray) -> set[int]:
         """Items one of whose shingles is among the document's minima."""
         found: set[int] = set()
-        for salt, (keys, owner) in zip(_SALTS, self.tables):
-            lowest = minima(elements, salt)
-            left = np.searchsorted(keys, lowest, side="left")
-            hit = left < len(keys)
-            hit[hit] = keys[left[hit]] == lowest[hit]
-            if hit.any():
-                right = np.searchsorted(keys, lowest[hit], side="right")
-                for a, b in zip(left[hit].tolist(), right.tolist()):
-                    found.update(owner[a:b].tolist())
+        lowest = minima(elements)
+        left = np.searchsorted(self.keys, lowest, side="left")
+        hit = left < len(self.keys)
+        hit[hit] = self.keys[left[hit]] == lowest[hit]
+        if hit.any():
+            right = np.searchsorted(self.keys, lowest[hit], side="right")
+            for a, b in zip(left[hit].tolist(), right.tolist()):
+                found.update(self.owner[a:b].tolist())
         return found
 
 
@@ -105,16 +98,16 @@ def contained_items(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS)
     """
     numbered = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     n_blocks = max(1, -(-numbered.count() // block))
-    spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = None
     for number in range(n_blocks):
         # Twice the mean block is beyond all chance for a hash of thousands of items.
         here = numbered if n_blocks == 1 else numbered.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number)
-        index = spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in here.toLocalIterator()]))
+        # Part of the function below, which Spark broadcasts when it is large.
+        index = Index([(r["item_id"], r["text"]) for r in here.toLocalIterator()])
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            known, hashes = index.value, WordHashes()
+            known, hashes = index, WordHashes()
             for batch in batches:
                 rows = []
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -47,7 +47,7 @@ def test_contained_items(spark, docs, rows):
 
 def test_minima_resolve_large_sets():
     elements = np.unique(np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64))
-    assert len(decontamination.minima(elements, np.uint64(1))) > 0.95 * len(elements)
+    assert len(decontamination.minima(elements)) > 0.95 * len(elements)
 
 
 def test_pieces(spark, docs, rows):
