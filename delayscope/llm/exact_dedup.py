@@ -68,7 +68,8 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
         # The largest (code points, -id): most code points first, then the smallest id.
         F.max(F.struct("n_points", (-F.col("doc_id")).alias("negative"))).alias("best"),
     ).select("text_sha256", "group_size", (-F.col("best.negative")).alias("keep_id"))
-    copies = suspects.join(groups, "text_sha256")
+    # Stored first: the join then has plain shuffles on both sides, which can be split.
+    copies = suspects.join(stored(groups, "exact-groups"), "text_sha256")
     columns = ["doc_id", "keep_id", "group_size", F.col("keep_id").eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256"]
     alone = unique.withColumn("keep_id", F.col("doc_id")).withColumn("group_size", F.lit(1).cast("long"))
     return alone.select(columns).unionByName(copies.select(columns))
