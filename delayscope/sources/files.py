@@ -58,7 +58,7 @@ def convert_by_name(text: DataFrame) -> DataFrame:
 
 def convert_raw(text: DataFrame) -> DataFrame:
     """Text columns of the 27-column layout with the types of that layout."""
-    convert = {"integer": whole, "double": number, "string": F.col}
+    convert = {"integer": lambda name: whole(name).try_cast("int"), "double": number, "string": F.col}
     return text.select(*(convert[f.dataType.typeName()](f.name).alias(f.name) for f in RAW_SCHEMA))
 
 
