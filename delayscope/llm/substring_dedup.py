@@ -34,8 +34,10 @@ _REACH = LENGTH - ANCHOR + 1
 _PIECE = 1 << 16
 #: Anchors in more places than this take the way of counting every suffix by itself.
 HOT_PLACES = 1024
-#: Bytes of suffix contexts that are sorted together.
-_CHUNK = 2 << 20
+#: Bytes of suffix contexts that are sorted together: they take about a hundred times that.
+_CHUNK = 256 << 10
+#: Rows with whole texts that are unpacked together.
+_ROWS = 64
 
 # Odd bases of two polynomial fingerprints modulo 2^64.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -60,7 +62,7 @@ class Fingerprints:
     def of(self, data: np.ndarray, width: int) -> np.ndarray:
         n = len(data)
         if n > len(self.up):
-            self.up, self.down = _powers(self.base, 2 * n)
+            self.up, self.down = _powers(self.base, n + n // 4)
         # Zero bytes count too: every byte is raised by one.
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:n], out=sums[1:])
@@ -137,6 +139,14 @@ def flagged_runs(flags: np.ndarray, context: np.ndarray, start: np.ndarray) -> t
     return c[heads], s[heads], s[tails]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of the batches, unpacked a few at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            few = batch.slice(at, _ROWS)
+            yield from zip(*(few.column(i).to_pylist() for i in range(few.num_columns)))
+
+
 SPANS = "text_id long, start long, stop long"
 
 
@@ -165,14 +175,13 @@ def _contexts_of(texts: DataFrame) -> DataFrame:
     """(anchor, hot, text_id, doc_id, start, context) from (text_id, doc_id, body, runs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text_id, doc, body, runs in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                yield pa.record_batch([
-                    pa.array([r["anchor"] for r in runs], pa.int64()), pa.array([r["hot"] for r in runs], pa.bool_()),
-                    pa.array([text_id] * len(runs), pa.int64()), pa.array([doc] * len(runs), pa.int64()),
-                    pa.array([r["start"] for r in runs], pa.int64()),
-                    pa.array([body[r["start"]:r["start"] + r["n"] + LENGTH - 1] for r in runs], pa.binary()),
-                ], names=["anchor", "hot", "text_id", "doc_id", "start", "context"])
+        for text_id, doc, body, runs in _slices(batches):
+            yield pa.record_batch([
+                pa.array([r["anchor"] for r in runs], pa.int64()), pa.array([r["hot"] for r in runs], pa.bool_()),
+                pa.array([text_id] * len(runs), pa.int64()), pa.array([doc] * len(runs), pa.int64()),
+                pa.array([r["start"] for r in runs], pa.int64()),
+                pa.array([body[r["start"]:r["start"] + r["n"] + LENGTH - 1] for r in runs], pa.binary()),
+            ], names=["anchor", "hot", "text_id", "doc_id", "start", "context"])
 
     return texts.mapInArrow(run, "anchor long, hot boolean, text_id long, doc_id long, start long, context binary")
 
@@ -200,13 +209,12 @@ def _matched_together(contexts: DataFrame, first_stays: bool) -> DataFrame:
         prints = tuple(Fingerprints(b) for b in _BASES)
         rows: list[tuple] = []
         held = 0
-        for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if held >= _CHUNK and row[0] != rows[-1][0]:
-                    yield solve(rows, prints)
-                    rows, held = [], 0
-                rows.append(row)
-                held += len(row[4])
+        for row in _slices(batches):
+            if held >= _CHUNK and row[0] != rows[-1][0]:
+                yield solve(rows, prints)
+                rows, held = [], 0
+            rows.append(row)
+            held += len(row[4])
         if rows:
             yield solve(rows, prints)
 
@@ -230,14 +238,13 @@ def _matched_singly(contexts: DataFrame, first_stays: bool) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = tuple(Fingerprints(b) for b in _BASES)
-        for batch in batches:
-            for text_id, doc, start, context in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                h1, h2, counts = window_prints([context], prints)
-                n = int(counts[0])
-                yield pa.record_batch([
-                    pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array([text_id] * n, pa.int64()),
-                    pa.array([doc] * n, pa.int64()), pa.array(np.arange(start, start + n), pa.int64()),
-                ], names=["h1", "h2", "text_id", "doc_id", "start"])
+        for text_id, doc, start, context in _slices(batches):
+            h1, h2, counts = window_prints([context], prints)
+            n = int(counts[0])
+            yield pa.record_batch([
+                pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array([text_id] * n, pa.int64()),
+                pa.array([doc] * n, pa.int64()), pa.array(np.arange(start, start + n), pa.int64()),
+            ], names=["h1", "h2", "text_id", "doc_id", "start"])
 
     one = same.filter("place = first").select("text_id", "doc_id", "start", "context")
     suffixes = stored(one.mapInArrow(spread, "h1 long, h2 long, text_id long, doc_id long, start long"), "hot-suffixes")
@@ -314,14 +321,12 @@ def repeated_bytes(docs: DataFrame, keep: str = "none", with_bytes: bool = False
     )
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for doc, data, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                kept, n_runs = cut(data, [(s["start"], s["stop"]) for s in found])
-                out.append((doc, len(data), len(data) - len(kept), n_runs, hashlib.sha256(kept).hexdigest(), kept if with_bytes else b""))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes")
-            yield pa.record_batch([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=list(names))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+        names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes")
+        for doc, data, found in _slices(batches):
+            kept, n_runs = cut(data, [(s["start"], s["stop"]) for s in found])
+            row = (doc, len(data), len(data) - len(kept), n_runs, hashlib.sha256(kept).hexdigest(), kept if with_bytes else b"")
+            yield pa.record_batch([pa.array([v], k) for v, k in zip(row, kinds)], names=list(names))
 
     partly = stored(placed.filter(~copied & F.col("some")).select("doc_id", "text_id").distinct(), "partly")
     chosen = bloom.maybe_among(source.select("text_id", "doc_id", "body"), "text_id", spans)
