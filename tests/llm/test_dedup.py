@@ -101,6 +101,18 @@ def test_documents_without_repeated_lines(spark):
     assert line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def kept_lines(spark, lines):
+    """The number of the line that stays for each line of one document."""
+    found = line_dedup.line_decisions(frame(spark, [(1, "\n".join(lines), "en")])).collect()
+    return {r["line_no"]: r["keep_line_no"] for r in found}
+
+
+def test_periodic_lines_meet_whatever_their_length(spark):
+    phrases = ["ab cd ", "-- | ", "12 345 ", "total sum ", "x = y + ", "no no yes "]
+    lines = [(phrase * n).strip() for phrase in phrases for n in (20, 40, 400)]
+    assert kept_lines(spark, lines) == {i: i // 3 * 3 for i in range(len(lines))}
+
+
 @pytest.mark.parametrize("hot", [1024, 1])
 def test_substrings(docs, rows, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "HOT_PLACES", hot)
