@@ -113,6 +113,31 @@ def test_periodic_lines_meet_whatever_their_length(spark):
     assert kept_lines(spark, lines) == {i: i // 3 * 3 for i in range(len(lines))}
 
 
+def jaccard(a, b):
+    x, y = ({line[i : i + 5] for i in range(max(1, len(line) - 4))} for line in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def mistyped(rng, line, letters):
+    """The line after one letter after another was changed, as long as it stays alike."""
+    now = line
+    while True:
+        p = rng.randrange(len(now))
+        then = now[:p] + rng.choice(["", rng.choice(letters), rng.choice(letters) + now[p]]) + now[p + 1 :]
+        if jaccard(line, then) < 0.75 or then != then.strip() or not then:
+            return now
+        now = then
+
+
+def test_alike_lines_of_one_to_four_words_meet(spark):
+    rng = random.Random(8)
+    lines = ["contact us", "contact us!", "read more", "read more.", "internationalisation", "internationalisations"]
+    for n in range(400):
+        line = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 12))) for _ in range(1 + n % 4))
+        lines += [line, mistyped(rng, line, "abcdefghijklmnop")]
+    assert kept_lines(spark, lines) == {i: i // 2 * 2 for i in range(len(lines))}
+
+
 @pytest.mark.parametrize("hot", [1024, 1])
 def test_substrings(docs, rows, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "HOT_PLACES", hot)
