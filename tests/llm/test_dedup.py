@@ -138,6 +138,21 @@ def test_alike_lines_of_one_to_four_words_meet(spark):
     assert kept_lines(spark, lines) == {i: i // 2 * 2 for i in range(len(lines))}
 
 
+@pytest.mark.parametrize("script", ["spaced", "unspaced"])
+def test_alike_lines_of_every_length_meet(spark, script):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnoprstuvw" if script == "spaced" else "".join(map(chr, range(0x4E00, 0x4E00 + 800)))
+    lines = []
+    for n in range(1000):
+        if script == "spaced":
+            line = " ".join("".join(rng.choices(letters, k=rng.randint(1, 10))) for _ in range(12 + n % 80))
+        else:
+            line = "".join(rng.choices(letters, k=20 + n % 400))
+        lines += [line, mistyped(rng, line, letters)]
+    found = kept_lines(spark, lines)
+    assert sum(found[i] != i // 2 * 2 for i in range(len(lines))) <= 1
+
+
 @pytest.mark.parametrize("hot", [1024, 1])
 def test_substrings(docs, rows, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "HOT_PLACES", hot)
