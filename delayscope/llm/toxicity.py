@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delayscope.llm.common import WHITE
+
 #: Labelled rows the model is fitted on at most: those of the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
 #: Features the model keeps at most.
@@ -47,6 +49,11 @@ _CLASS[128:] = OTHER
 
 _DECORATION = re.compile(r"^[^\w$@!|+(€£]+|[^\w$@!|+€£]+$|(?<=\w)([^\w\s])\1+$")
 _TRIPLE = re.compile(r"(.)\1\1")
+#: Characters of the tokens that may be letters or chunks of a word set apart.
+CHUNK = 5
+_CHUNKS = re.compile(r"(?<![^%s])[^%s]{1,%d}(?:[%s]+[^%s]{1,%d})+(?![^%s])" % (WHITE, WHITE, CHUNK, WHITE, WHITE, CHUNK, WHITE))
+#: In restored chunks: where a space was a separator.
+_JOINED = "\t"
 
 
 def _class_of(letter: str) -> int:
@@ -84,7 +91,10 @@ def disguised(word: str) -> bool:
 
 
 def restore(word: str, model: CharacterModel) -> str:
-    """The likeliest letters behind a disguised word (lower case)."""
+    """The likeliest letters behind a disguised word (lower case).
+
+    A space is the edge of a word or, as a tab in the result, a separator.
+    """
     cost = model.rows
     # State: the two last classes. Value: cost so far, letters so far.
     paths: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
@@ -93,7 +103,9 @@ def restore(word: str, model: CharacterModel) -> str:
         run = run + 1 if c == previous else 1
         previous = c
         options: list[tuple[str, float]] = []
-        if c.isalpha():
+        if c == " ":
+            options.extend(((" ", 0.0), (_JOINED, SEPARATOR)))
+        elif c.isalpha():
             options.append((c, 0.0))
             if run > 1:
                 options.append(("", 0.2 if run > 2 else 1.5))
@@ -103,8 +115,10 @@ def restore(word: str, model: CharacterModel) -> str:
         reached: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (so_far, letters) in paths.items():
             for letter, price in options:
-                if letter:
-                    k = _class_of(letter)
+                if letter == _JOINED:
+                    state, value = (a, b), (so_far + price, letters + letter)
+                elif letter:
+                    k = EDGE if letter == " " else _class_of(letter)
                     state, value = (b, k), (so_far + price + cost[a][b][k], letters + letter)
                 else:
                     state, value = (a, b), (so_far + price, letters)
@@ -120,6 +134,8 @@ class Words(dict):
     def __init__(self, model: CharacterModel, use, most: int = 400_000):
         super().__init__()
         self.model, self.use, self.most = model, use, most
+        self.chunks: dict[str, tuple] = {}
+        self.junctions: dict[str, bool] = {}
 
     def __missing__(self, word: bytes):
         if len(self) >= self.most:
@@ -129,6 +145,48 @@ class Words(dict):
         return value
 
 
+    def may_join(self, a: str, b: str) -> bool:
+        """Whether a path through the space between two tokens may be cheaper than a word edge.
+
+        Between tokens of two letters and more the trigrams across the space decide alone.
+        The model does not tell letters beyond a to z apart: of these, only single ones join.
+        """
+        if a[-1].isalpha() and b[0].isalpha() and _class_of(a[-1]) == OTHER == _class_of(b[0]):
+            return len(a) == len(b) == 1
+        if len(a) < 2 or len(b) < 2 or not (a.isalpha() and b.isalpha()):
+            return True
+        key = a[-2:] + b[:2]
+        found = self.junctions.get(key)
+        if found is None:
+            if len(self.junctions) >= self.most:
+                self.junctions.clear()
+            cost, (w, x, y, z) = self.model.rows, map(_class_of, key)
+            edge = cost[w][x][EDGE] + cost[x][EDGE][y] + cost[EDGE][y][z]
+            found = self.junctions[key] = cost[w][x][y] + cost[x][y][z] + SEPARATOR < edge
+        return found
+
+    def joined(self, text: str | None) -> Iterator[tuple]:
+        """What words stand for that were set apart by spaces, letter by letter or in chunks."""
+        for run in _CHUNKS.findall((text or "").lower()):
+            tokens = run.split()
+            first = 0
+            for i in range(1, len(tokens) + 1):
+                if i < len(tokens) and self.may_join(tokens[i - 1], tokens[i]):
+                    continue
+                if i - first > 1:
+                    yield self.restored(" ".join(tokens[first:i]))
+                first = i
+
+    def restored(self, chunks: str) -> tuple:
+        found = self.chunks.get(chunks)
+        if found is None:
+            if len(self.chunks) >= self.most:
+                self.chunks.clear()
+            words = restore(chunks, self.model).split(" ") if any(map(str.isalpha, chunks)) else ()
+            found = self.chunks[chunks] = tuple(f for w in words if _JOINED in w for f in self.use(w.replace(_JOINED, "")))
+        return found
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words between white space; three or more single characters in a row also as one word."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -158,12 +216,19 @@ class Model:
         return tuple(i for i in map(self.index.get, features_of(word)) if i is not None)
 
 
-def present(words: Iterable[bytes], known: Words) -> list[int]:
-    """The features that occur in a document, each once."""
-    found: set[int] = set()
-    for held in set(filter(None, map(known.__getitem__, words))):
+def held_by(text: str | None, known: Words) -> set:
+    """What the words of a document stand for, each once: those between white space and those set apart."""
+    found: set = set()
+    for held in set(filter(None, map(known.__getitem__, words_of(text)))):
+        found.update(held)
+    for held in known.joined(text):
         found.update(held)
-    return sorted(found)
+    return found
+
+
+def present(text: str | None, known: Words) -> list[int]:
+    """The features that occur in a document, each once."""
+    return sorted(held_by(text, known))
 
 
 def fit(rows: list[list[int]], labels: np.ndarray, n_features: int, steps: int = 200, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -229,7 +294,7 @@ def train(docs: DataFrame, labels: DataFrame, language: CharacterModel, rows: in
         seen = (Counter(), Counter())
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[label != 0].update({f for w in set(words_of(text)) for f in features[w]})
+                seen[label != 0].update(held_by(text, features))
         names = list(seen[0].keys() | seen[1].keys())
         yield pa.record_batch([
             pa.array(names, pa.string()), pa.array([seen[1][f] for f in names], pa.int64()), pa.array([seen[0][f] for f in names], pa.int64()),
@@ -254,7 +319,7 @@ def train(docs: DataFrame, labels: DataFrame, language: CharacterModel, rows: in
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(language, draft.known)
         for batch in batches:
-            found = [present(words_of(t), known) for t in batch.column(1).to_pylist()]
+            found = [present(t, known) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["label", "found"])
 
     # Bounded: ``rows`` rows of at most LEXICON small numbers.
@@ -279,7 +344,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(language, model.known)
         for batch in batches:
-            z = np.array([model.weights[present(words_of(t), known)].sum() + model.bias for t in batch.column(2).to_pylist()], float)
+            z = np.array([model.weights[present(t, known)].sum() + model.bias for t in batch.column(2).to_pylist()], float)
             yield pa.record_batch([
                 batch.column(0), batch.column(1), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64()),
             ], names=["doc_id", "held_out", "score"])
@@ -298,6 +363,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> D
         import pandas as pd
 
         known = Words(language, model.known)
-        return pd.Series([bool(model.weights[present(words_of(t), known)].sum() + model.bias >= 0) for t in texts], dtype=bool)
+        return pd.Series([bool(model.weights[present(t, known)].sum() + model.bias >= 0) for t in texts], dtype=bool)
 
     return docs.filter(~toxic(F.col("text").cast("string")))

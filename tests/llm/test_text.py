@@ -153,6 +153,18 @@ def test_disguised_words_are_restored():
     assert toxicity.words_of("an i d i o t here")[-1] == b"idiot" and not toxicity.disguised("plain")
 
 
+def test_words_set_apart_by_spaces_are_restored():
+    plain = "you are a stupid person and i say that the moron is an idiot and a loser said so дурак ты été à la même"
+    known = toxicity.Words(toxicity.CharacterModel(toxicity.trigram_counts([plain] * 50)), toxicity.features_of)
+    for text, words in (
+        ("you are a s t u p i d person", ["stupid"]), ("and i s t u p i d say", ["stupid"]), ("a s t u p i d m o r o n said", ["stupid", "moron"]),
+        ("you st upid person", ["stupid"]), ("a s t u p 1 d person", ["stupid"]), ("ты д у р а к ты", ["дурак"]), ("la m ê m e", ["même"]),
+    ):
+        found = toxicity.held_by(text, known)
+        assert [w for w in words if f"={w}" not in found] == [], text
+    assert not any(known.joined("you are a person and i say so"))
+
+
 @pytest.mark.parametrize("name", ["toxic", "quality"])
 def test_scores(spark, small, name):
     module = toxicity if name == "toxic" else quality
