@@ -40,6 +40,8 @@ STANDS_FOR = {
 BETWEEN = ".-_*~'`,/\\ "
 #: Cost (negative log chance) of a look-alike, of a separator, of dropping anything else.
 LOOK_ALIKE, SEPARATOR, DROPPED = 1.0, 0.5, 6.0
+#: Cost of a space inside a word beside two letters or more: of all such spaces few are.
+SPACED = 2.0
 
 EDGE, OTHER, CLASSES = 0, 27, 28
 _CLASS = np.full(256, EDGE, np.int32)
@@ -99,12 +101,13 @@ def restore(word: str, model: CharacterModel) -> str:
     # State: the two last classes. Value: cost so far, letters so far.
     paths: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
     previous, run = "", 0
-    for c in word:
+    for i, c in enumerate(word):
         run = run + 1 if c == previous else 1
         previous = c
         options: list[tuple[str, float]] = []
         if c == " ":
-            options.extend(((" ", 0.0), (_JOINED, SEPARATOR)))
+            single = word[max(0, i - 2) : i - 1].strip() == "" == word[i + 2 : i + 3].strip()
+            options.extend(((" ", 0.0), (_JOINED, SEPARATOR if single else SPACED)))
         elif c.isalpha():
             options.append((c, 0.0))
             if run > 1:
@@ -162,7 +165,7 @@ class Words(dict):
                 self.junctions.clear()
             cost, (w, x, y, z) = self.model.rows, map(_class_of, key)
             edge = cost[w][x][EDGE] + cost[x][EDGE][y] + cost[EDGE][y][z]
-            found = self.junctions[key] = cost[w][x][y] + cost[x][y][z] + SEPARATOR < edge
+            found = self.junctions[key] = cost[w][x][y] + cost[x][y][z] + SPACED < edge
         return found
 
     def joined(self, text: str | None) -> Iterator[tuple]:
