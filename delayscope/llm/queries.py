@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayscope.llm import chat_format, decontamination, exact_dedup, line_dedup, near_dedup, packing, quality, revisits, substring_dedup, toxicity
+from delayscope.llm import (
+    chat_format, decontamination, exact_dedup, hard_negatives, line_dedup, near_dedup, packing, quality, revisits, simhash,
+    substring_dedup, toxicity, whitening,
+)
 from delayscope.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +173,40 @@ SELECT id AS record_id, key AS canonical_url, response_id, outcome,
     'etag: ' || CASE WHEN tag IS NULL THEN f_tag ELSE 'W/' || tag END, 'last-modified: ' || day, 'server: a') END AS headers
 FROM o
 """
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    given = F.col("label").cast("long")
+    flipped = F.when(F.col("vec_id") % 7 == 0, (given + 1) % 10).otherwise(given)
+    return hard_negatives.hard_negatives(vectors.withColumn("label", flipped), F.col("vec_id") % 50 == 0)
+
+
+SQL["op11_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.id AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+@query
+def op12_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op13_simhash(spark, sf):
+    return simhash.simhash_duplicates(table(spark, sf, "documents"))
