@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delayscope.sinks import scratch
 from delayscope.sinks.scratch import scratch_path
 
 #: The white space that separates words, as the contracts state it.
 WHITE = " \t\n\v\f\r"
 
 
+#: Where stored tables are, as long as someone holds them.
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back.
 
@@ -19,7 +26,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete stored tables that nothing will read again; others are left alone."""
+    for table in tables:
+        path = _paths.pop(table, None) if table is not None else None
+        if path is not None:
+            scratch.discard(table.sparkSession, path)
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each lengthened until no column is called so, whatever its case."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 def stored_columns(df: DataFrame, label: str, buckets: Column) -> DataFrame:

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from delayscope.llm import bloom
-from delayscope.llm.common import stored
-from delayscope.llm.linking import link, shared_buckets
+from delayscope.llm.common import discard, stored, unused
+from delayscope.llm.linking import candidate_pairs, link, shared_buckets
 from delayscope.llm.shingles import WORDS, WordHashes, mix, shingle_set, words_of
 
 #: Lowest bits of registers that make a mark, 64 to a word, and in how many similar sets may differ.
@@ -80,18 +80,19 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, gri
     return j[np.arange(len(best)), best]
 
 
-SKETCHED = "doc_id long, n_shingles long, s1 long, s2 long, registers binary"
+SKETCHED = "doc_id long, row_key long, n_shingles long, s1 long, s2 long, registers binary"
 #: Shingles sketched at a time: keeps the working set in the processor's cache.
 _BLOCK = 60_000
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Per document: size of its shingle set, two order-free digests of the set, registers."""
+    """Per document: id, a hash of its text, size of its shingle set, two order-free digests
+    of the set, registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(words_of(t), hashes) for t in batch.column(1).to_pylist()]
+            sets = [shingle_set(words_of(t), hashes) for t in batch.column(2).to_pylist()]
             registers: list[bytes | None] = [None] * len(sets)
             block: list[int] = []
             held = 0
@@ -105,14 +106,15 @@ def sketches(docs: DataFrame) -> DataFrame:
                         registers[k] = row.tobytes() + np.packbits(row & 1).tobytes()
                     block, held = [], 0
             yield pa.record_batch([
-                batch.column(0),
+                batch.column(0), batch.column(1),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
                 pa.array(np.array([mix(s ^ _ADD[0]).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
                 pa.array(registers, pa.binary()),
-            ], names=["doc_id", "n_shingles", "s1", "s2", "registers"])
+            ], names=["doc_id", "row_key", "n_shingles", "s1", "s2", "registers"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SKETCHED)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("row_key"), text.alias("text")).mapInArrow(run, SKETCHED)
 
 
 def shingle_table(docs: DataFrame) -> DataFrame:
@@ -160,39 +162,51 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     is identified by its hashes of 64 bits.
 
     Documents of equal sets are one node from the start, so a group of copies costs one
-    comparison. Nodes meet in bands of equal registers (see ``linking.link``: never all
-    pairs of a bucket); a joint likelihood over all registers drops clearly unlike pairs;
-    the rest is decided on the full sets.
+    comparison. Nodes meet in bands of equal registers; marks of their parities, then a
+    joint likelihood over all registers drop clearly unlike pairs, and the rest is decided
+    on the full sets. ``linking.link`` keeps the pairs in proportion to the rows of the bands.
 
     Null text is empty. Rows that share an id are one node: whatever links to one of them
     links to the other. Rows without id keep the component of their equals (null if none).
     An empty table gives an empty result; other columns are not read.
     """
+    return _decided(docs).drop("row_key")
+
+
+def _decided(docs: DataFrame) -> DataFrame:
+    """The same with the hash of the text, which tells rows without id apart."""
     slim = stored(sketches(docs), "sketches")
     full = slim.filter("n_shingles > 0")
     same = ["n_shingles", "s1", "s2"]
     classes = stored(full.groupBy(*same).agg(F.min("doc_id").alias("node")), "classes")
-    members = stored(full.join(classes, same).select("doc_id", "node", "n_shingles", "registers"), "members")
+    members = stored(full.join(classes, same).select("doc_id", "row_key", "node", "n_shingles", "registers"), "members")
     nodes = stored(members.filter("doc_id = node").select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), "registers").dropDuplicates(["id", "n", "registers"]), "nodes")
+    members = stored(members.select("doc_id", "row_key", "node", "n_shingles"), "slim-members")
+    alone = stored(slim.filter("n_shingles = 0").select("doc_id", "row_key", "n_shingles", F.col("doc_id").alias("component_id")), "without-words")
+    discard(slim, classes)
 
     band = 2 * ROWS
     keys = F.array(*(F.xxhash64(F.lit(i), F.substring("registers", i * band + 1, band)) for i in range(BANDS)))
-    shared = shared_buckets(nodes.select(F.explode(keys).alias("key"), "id"))
-    wanted = stored(shared.select("id").distinct(), "wanted")
+    mark = F.struct("n", parities("registers").alias("bits")).alias("mark")
+    shared = shared_buckets(nodes.select(F.explode(keys).alias("key"), "id", mark))
+    pairs, large = candidate_pairs(shared, possible)
+    discard(shared)
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(large.select("id")).distinct(), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     texts = bloom.maybe_among(texts, "id", wanted).join(wanted, "id", "left_semi")
     sets = stored(shingle_table(texts.select(F.col("id").alias("doc_id"), "text")), "sets")
-    compact = nodes.join(wanted, "id", "left_semi")
+    compact = stored(nodes.join(wanted, "id", "left_semi"), "compact-nodes")
+    discard(nodes)
 
     def side(frame: DataFrame, name: str) -> DataFrame:
         return frame.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in frame.columns if c != "id"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        likely = (
+        likely = stored(
             pairs.join(side(compact, "b"), "b").join(side(compact, "a"), "a")
             .filter(PERCENT * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
             .filter(_estimated("registers_a", "registers_b", "n_a", "n_b") >= PERCENT / 100 - MARGIN)
-            .select("a", "b")
+            .select("a", "b"), "likely-pairs",
         )
         both = F.size(F.array_intersect("elements_a", "elements_b"))
         return (
@@ -201,16 +215,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("a", "b").distinct()
         )
 
-    marks = compact.select("id", F.struct("n", parities("registers").alias("bits")).alias("mark"))
-    components = stored(link(shared, verify, marks, possible), "components").select(F.col("id").alias("node"), "component")
-    linked = members.join(components, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id")
-    )
-    alone = slim.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    def elements(ids: DataFrame) -> DataFrame:
+        return sets.join(ids, "id").select("id", F.lit(0).alias("kind"), F.explode("elements").alias("element")).distinct()
+
+    components = link(pairs, large, verify, elements, PERCENT, possible)
+    named = components.select(F.col("id").alias("node"), "component")
+    linked = members.join(named, "node", "left").select("doc_id", "row_key", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+    result = stored(linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near-duplicates")
+    discard(members, alone, sets, compact, pairs, large, wanted)
+    return result
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns: one of each component."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """The documents that stay, with all their columns: of each component the row (or the rows) with its smallest id.
+
+    Null and empty texts and texts without words are in no group and stay, as do rows
+    without id that equal nothing; a row without id that has an equal with one goes. Rows
+    that repeat stay or go together. An empty table stays empty; no column name clashes.
+    """
+    own, key = unused(docs.columns, "kept_id", "kept_key")
+    kept = _decided(docs).filter("kept").select(F.col("doc_id").alias(own), F.col("row_key").alias(key)).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(kept[own]) & (F.xxhash64(docs["text"].cast("string")) == kept[key])
+    return docs.join(kept, same, "left_semi")

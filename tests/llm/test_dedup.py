@@ -7,8 +7,8 @@ import re
 import pytest
 
 from delayscope.llm import exact_dedup, line_dedup, near_dedup, substring_dedup
-from delayscope.llm.linking import connected_components, link, shared_buckets
-from tests.llm.fixtures import components, documents, frame, line_components, near_components, repeated
+from delayscope.llm.linking import candidate_pairs, connected_components, link, prefix_pairs, shared_buckets
+from tests.llm.fixtures import components, documents, frame, line_components, near_components, repeated, words
 
 
 @pytest.fixture(scope="module")
@@ -55,6 +55,39 @@ def test_near_of_nothing(docs):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def family(rng, n, size=150, changes=12, at=0):
+    """Texts made from one by some changed words each: alike to some others, unlike to most."""
+    base = words(rng, size)
+    texts = []
+    for k in range(n):
+        now = list(base)
+        for i in rng.sample(range(size), rng.randint(0, changes)):
+            now[i] = f"w{at}x{k}y{i}"
+        texts.append(" ".join(now))
+    return texts
+
+
+def test_near_in_a_large_family_of_changed_copies(spark):
+    rng = random.Random(12)
+    texts = family(rng, 90) + family(rng, 40, changes=4, at=1) + [" ".join(words(rng, 80)) for _ in range(30)]
+    rows = [(i, t, "en") for i, t in enumerate(rng.sample(texts, len(texts)))]
+    want = near_components(rows)
+    assert len({c for _, c in want.values()}) > 35
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert found == want
+
+
+def test_near_with_null_ids_and_repeated_rows(spark):
+    text = " ".join(words(random.Random(3), 60))
+    rows = [(None, text, "a"), (None, "one two three", "a"), (5, text, "b"), (5, text, "b"), (9, text + " more", "c"), (9, text + " more", "c"), (None, None, "d")]
+    docs = frame(spark, rows).withColumn("kept_id", near_dedup.F.lit(1))
+    found = sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"] or -1) for r in near_dedup.near_duplicates(docs).collect())
+    assert found == [(-1, 0, -1), (-1, 1, -1), (-1, 56, 5), (5, 56, 5), (5, 56, 5), (9, 57, 5), (9, 57, 5)]
+    left = near_dedup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] or -1, r["lang"]) for r in left.collect()) == [(-1, "a"), (-1, "d"), (5, "b"), (5, "b")]
+
+
 def test_sketches_merge_and_estimate():
     import numpy as np
 
@@ -74,11 +107,59 @@ def test_components_of_paths_and_stars(spark):
     assert found == components(nodes, edges)
 
 
-def test_link_finds_chains_inside_one_bucket(spark):
-    ids = [1, 2, 3, 9, 10, 20, 21, 22, 30]
+def numbers_as_sets(spark, width=8):
+    """Id i holds i..i+width: neighbours share width of width + 2 elements."""
+    from pyspark.sql import functions as F
+
+    return lambda ids: ids.select("id", F.lit(0).alias("kind"), F.explode(F.sequence("id", F.col("id") + width)).alias("element"))
+
+
+@pytest.mark.parametrize("repeats", [1, 12])
+def test_link_finds_chains_inside_one_bucket(spark, repeats):
+    ids = [1000 * k + i for k in range(repeats) for i in (1, 2, 3, 9, 10, 20, 21, 22, 30)]
     shared = shared_buckets(spark.createDataFrame([(0, i) for i in ids], "key long, id long"))
-    found = {r["id"]: r["component"] for r in link(shared, lambda p: p.filter("abs(a - b) <= 1")).collect()}
-    assert {i: found.get(i, i) for i in ids} == {1: 1, 2: 1, 3: 1, 9: 9, 10: 9, 20: 20, 21: 20, 22: 20, 30: 30}
+    pairs, large = candidate_pairs(shared)
+    assert (large.count() > 0) == (repeats > 1)
+    found = {r["id"]: r["component"] for r in link(pairs, large, lambda p: p.filter("abs(a - b) <= 1"), numbers_as_sets(spark), 75).collect()}
+    small = {1: 1, 2: 1, 3: 1, 9: 9, 10: 9, 20: 20, 21: 20, 22: 20, 30: 30}
+    assert {i: found.get(i, i) for i in ids} == {i: 1000 * (i // 1000) + small[i % 1000] for i in ids}
+
+
+def test_pairs_of_a_bucket_of_unlike_members_grow_in_proportion(spark):
+    """Members share half of their elements, as documents do around a common passage."""
+    from pyspark.sql import functions as F
+
+    checked = {}
+    for n in (200, 400, 800):
+        shared = shared_buckets(spark.createDataFrame([(0, i) for i in range(n)], "key long, id long"))
+        seen = spark.sparkContext.accumulator(0)
+
+        def verify(pairs, seen=seen):
+            seen.add(pairs.count())
+            return pairs.filter("false")
+
+        def elements(ids):
+            return ids.select("id", F.lit(0).alias("kind"), F.explode(F.concat(F.sequence(F.lit(-30), F.lit(-1)), F.transform(F.sequence(F.lit(1), F.lit(30)), lambda k: F.col("id") * 100 + k))).alias("element"))
+
+        assert link(*candidate_pairs(shared), verify, elements, 75).count() == 0
+        checked[n] = seen.value
+    assert all(checked[n] <= 2 * n for n in checked), checked
+
+
+def test_prefix_pairs_leave_no_alike_pair_out(spark):
+    rng = random.Random(4)
+    sets = {}
+    for i in range(240):
+        base = sets[rng.randrange(i)] if i and rng.random() < 0.7 else {rng.randrange(400) for _ in range(rng.randint(1, 60))}
+        sets[i] = {e if rng.random() > 0.08 else rng.randrange(400) for e in base} | {rng.randrange(400) for _ in range(rng.randint(0, 3))}
+    rows = [(i, i, 0, e) for i, s in sets.items() for e in s]
+    table = spark.createDataFrame(rows, "id long, c long, kind int, element long")
+    for percent in (75, 45):
+        found = {(r["a"], r["b"]) for r in prefix_pairs(table, percent).collect()}
+        want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+        assert want <= found and len(want) > 40
+        if percent == 75:
+            assert len(found) < 240 * 239 / 2 / 8
 
 
 def test_lines(docs, rows):
@@ -101,6 +182,35 @@ def test_documents_without_repeated_lines(spark):
     assert line_dedup.drop_repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_lines_with_null_ids_repeated_rows_and_clashing_names(spark):
+    rows = [(None, "first line of it\nsecond line here", "a"), (4, "first line of it\nanother one", "b"), (4, "first line of it\nanother one", "b"), (None, None, "c")]
+    clash = {n: line_dedup.F.lit("x") for n in ("gone_lines", "some_left", "text_key", "text_lines", "some", "gone", "key_of_text", "normal", "line")}
+    docs = frame(spark, rows).withColumns(clash)
+    left = line_dedup.drop_repeated_lines(docs)
+    assert left.columns == docs.columns
+    assert sorted((r["lang"], r["text"], r["some"], r["text_key"]) for r in left.collect() if r["text"]) == [
+        ("a", "second line here", "x", "x"), ("b", "first line of it\nanother one", "x", "x"), ("b", "first line of it\nanother one", "x", "x"),
+    ]
+    assert left.count() == 4
+
+
+def test_lines_around_a_common_passage(spark):
+    """A passage in many long lines, some of which are alike and most of which are not."""
+    rng = random.Random(21)
+    passage = words(rng, 40)
+    lines = []
+    for k in range(60):
+        own = words(rng, 5 + k)
+        line = " ".join(own[: k // 2] + passage + own[k // 2 :])
+        lines.append(line)
+        if k % 3 == 0:
+            lines.append(line.replace(own[0], own[0] + "s", 1))
+    rows = [(i, line, "en") for i, line in enumerate(lines)]
+    want = line_components(rows)
+    found = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in line_dedup.line_decisions(frame(spark, rows)).collect()}
+    assert found == want
+
+
 def kept_lines(spark, lines):
     """The number of the line that stays for each line of one document."""
     found = line_dedup.line_decisions(frame(spark, [(1, "\n".join(lines), "en")])).collect()
