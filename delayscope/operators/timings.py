@@ -225,21 +225,18 @@ def drop_warmup(log: DataFrame, warmup: int, keys: Sequence[str] = tuple(GROUP),
 
 
 def _described(log: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """Count, mean, sample deviation, extremes and percentiles of time_s from counted values."""
-    weight, time = F.col(pct.FREQUENCY), F.col("time_s")
-    group = Window.partitionBy(*keys)
-    counted = pct.count_values(log.where(time.isNotNull()), keys, "time_s").withColumn(
-        "_mean", F.sum(time * weight).over(group) / F.sum(weight).over(group)
-    )
-    gap = time - F.col("_mean")
-    return pct.interpolated(
-        counted, keys, "time_s", probabilities,
-        F.sum(weight).alias("n"),
-        F.max("_mean").alias("mean_s"),
-        F.sqrt(F.try_divide(F.sum(weight * gap * gap), F.sum(weight) - 1)).alias("std_s"),
-        F.min(time).alias("min_s"),
-        F.max(time).alias("max_s"),
+    """Count, mean, sample deviation, extremes and percentiles of time_s.
+
+    All but the percentiles are plain aggregates; those are selected by rank, so a group
+    with raw timings is never put in order as a whole.
+    """
+    known = log.where(F.col("time_s").isNotNull())
+    plain = known.groupBy(*keys).agg(
+        F.avg("time_s").alias("mean_s"), F.stddev_samp("time_s").alias("std_s"), F.min("time_s").alias("min_s"), F.max("time_s").alias("max_s"),
     )
+    found = pct.interpolated_by_rank(known, keys, "time_s", probabilities)
+    named = plain.select(*(F.col(k).alias(f"_of_{k}") for k in keys), "mean_s", "std_s", "min_s", "max_s")
+    return found.join(named, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]).drop(*(f"_of_{k}" for k in keys))
 
 
 def phase_stats(log: DataFrame, keys: Sequence[str] = (*GROUP, "phase"), digits: int | None = 3,
@@ -300,14 +297,23 @@ def box_stats(log: DataFrame, phase: str = "end_to_end_s") -> DataFrame:
     )
 
 
-def box_rows(log: DataFrame, phase: str = "end_to_end_s", bucket: int = 1_000_000) -> DataFrame:
-    """Every observation with its box and its 0-based place in the query's chart."""
+def box_rows(log: DataFrame, phase: str = "end_to_end_s", bucket: int = 1_000_000, width: float = 1 / 1024) -> DataFrame:
+    """Every observation with its box and its 0-based place in the query's chart.
+
+    Runs are numbered in buckets of ``bucket`` run numbers. Rows without a run number all
+    have the number 0; they are cut by time, ``width`` seconds to a bucket, instead.
+    """
     rows = _of_phase(log, phase).select(
         "query", "worker_count", "impl", "iteration", "time_s",
         _slot_label().alias("group"), _slot().alias("group_order"),
     )
+    unnumbered = F.col("iteration") == 0
     placed = number_rows(
-        rows, ["query"], [F.col("group_order"), F.floor(F.col("iteration") / bucket)],
+        rows, ["query"],
+        [
+            F.col("group_order"), F.floor(F.col("iteration") / bucket), F.when(unnumbered, 0).otherwise(1),
+            F.when(unnumbered, F.floor(F.col("time_s") / width)).otherwise(0),
+        ],
         ["iteration", "time_s"], "index",
     )
     return placed.withColumn("index", F.col("index") - 1).withColumn(
