@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from delayscope.sinks import store
+from delayscope.sinks.scratch import discard, scratch_path
+
 
 def write_processed(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Replace a processed Parquet table; the number of rows is counted while writing.
@@ -28,16 +32,29 @@ def write_processed(df: DataFrame, path: str, partition_by: str | None = None) -
 def write_csv(df: DataFrame, path: str, order_by: Sequence[str] = (), single_file: bool = False) -> None:
     """Replace a CSV output with header.
 
-    ``single_file`` is for result tables, which are small: the work above stays parallel
-    and only the finished rows come together, sorted by ``order_by``. A large ordered
-    output is range-partitioned instead.
+    ``single_file`` gives one file with one header, its rows in the order of ``order_by``:
+    the rows are sorted and written as parts in parallel, which the file system then joins
+    in order, so no task ever holds all rows.
     """
-    if single_file:
-        shaped = df.repartition(1)
-        shaped = shaped.sortWithinPartitions(*order_by) if order_by else shaped
-    else:
-        shaped = df.orderBy(*order_by) if order_by else df
-    shaped.write.mode("overwrite").option("header", True).csv(path)
+    shaped = df.orderBy(*order_by) if order_by else df
+    if not single_file:
+        shaped.write.mode("overwrite").option("header", True).csv(path)
+        return
+    spark = df.sparkSession
+    parts, ready = scratch_path(spark, "csv-parts"), f"{path}.{uuid.uuid4().hex}.new"
+    shaped.write.option("header", False).csv(parts)
+    store.write_text(spark, f"{ready}/part-00000.csv", ",".join(map(_csv_name, df.columns)) + "\n")
+    files = [f"{parts}/{name}" for name in store.names(spark, parts) if name.startswith("part-")]
+    store.join_files(spark, files, f"{ready}/part-00000.csv")
+    store.write_text(spark, f"{ready}/_SUCCESS", "")
+    store.remove(spark, path)
+    store.rename(spark, ready, path)
+    discard(spark, parts)
+
+
+def _csv_name(name: str) -> str:
+    """A column name as a CSV header holds it."""
+    return '"' + name.replace('"', '\\"') + '"' if any(c in name for c in ',"\n\r') else name
 
 
 def publish_feed(df: DataFrame, path: str, feed: str) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from delayscope.functions import number, whole
 from delayscope.schema import BY_NAME_NUMBER, BY_NAME_WHOLE, RAW_SCHEMA
+from delayscope.sinks import store
 from delayscope.sources.contract import require_columns
 
 Paths = str | Sequence[str]
@@ -35,16 +36,33 @@ def read_raw(spark: SparkSession, path: Paths, schema: StructType = RAW_SCHEMA,
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+def headers(spark: SparkSession, path: Paths) -> dict[str, list[str]]:
+    """The header lines of the CSV files below a path, list or glob, each with its files.
+
+    Files are listed as Spark lists them, and the first line of each is read: one short
+    read per file, nothing of its content.
+    """
+    listed = spark.read.format("binaryFile").load(path if isinstance(path, str) else list(path)).select("path", "length")
+    found: dict[str, list[str]] = {}
+    for row in listed.where("length > 0").orderBy("path").toLocalIterator():
+        found.setdefault(store.first_line(spark, row["path"]), []).append(row["path"])
+    return found
+
+
 def read_by_name(spark: SparkSession, path: Paths) -> DataFrame:
-    """CSV bound by its header, all columns text, the analysed ones converted.
+    """CSV bound by header, all columns text, the analysed ones converted.
 
-    Files of one path must share a header; give paths with different headers as a list.
+    Files may differ in their columns and the order of these: they are grouped by header
+    line, every group is bound to its own, and the groups are stacked by name. Columns that a
+    file lacks are NULL; the analysed ones must be in one of them.
     """
-    def one(source: str) -> DataFrame:
-        return spark.read.option("header", True).option("nullValue", "").option("enforceSchema", False).csv(source)
+    def one(files: list[str]) -> DataFrame:
+        return spark.read.option("header", True).option("nullValue", "").option("enforceSchema", False).csv(files)
 
-    sources = [path] if isinstance(path, str) else list(path)
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(one, sources))
+    groups = [one(files) for files in headers(spark, path).values()]
+    if not groups:
+        raise ValueError(f"no CSV files below {path}")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), groups)
     require_columns(stacked, [*BY_NAME_WHOLE, *BY_NAME_NUMBER], str(path))
     return convert_by_name(stacked)
 
