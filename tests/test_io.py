@@ -12,7 +12,7 @@ from delayscope.sinks import files as sinks
 from delayscope.sinks.scratch import scratch_path
 from delayscope.sources import contract
 from delayscope.sources import files as sources
-from delayscope.sources.archives import read_archives, unpack_archives
+from delayscope.sources.archives import Pieces, archive_lines, read_archives, records
 from delayscope.streaming.landing import ingest_available
 from tests.helpers import dicts, raw
 from verification import inputs
@@ -84,8 +84,9 @@ def test_landed_files(spark, tmp_path):
         sources.require_landed(spark, str(tmp_path))
 
 
-def archive(path, members):
-    with tarfile.open(path, "w:gz") as packed:
+def archive(path, members, mode="w:gz"):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with tarfile.open(path, mode) as packed:
         for name, text in members.items():
             entry = tarfile.TarInfo(name)
             entry.size = len(text.encode())
@@ -104,8 +105,41 @@ def test_archives(spark, tmp_path):
     assert typed.dtypes == [(f.name, f.dataType.simpleString()) for f in RAW_SCHEMA]
     assert sorted(r["MONTH"] for r in dicts(typed)) == [1, 2, 3, 4, 5, 6, 7, 9]
     assert {r["DIVERTED"] for r in dicts(typed.where("MONTH < 8"))} == {1.0}
-    binary = spark.read.format("binaryFile").load(str(tmp_path))
-    assert unpack_archives(binary, ["MONTH"], chunk_rows=2).count() == 8
+    assert read_archives(spark, str(tmp_path), ["MONTH"], member_pattern="nothing").count() == 0
+
+
+def test_archives_are_streamed_line_by_line(spark, tmp_path):
+    """More members and longer ones than a piece; quoted line feeds, blank lines, CR LF, no final line feed."""
+    members = {
+        "a.csv": "MONTH,NOTE\r\n1,plain\r\n\r\n2,\"two\nlines\"\r\n3,end",
+        "blob.bin": "\x01" * 5000,
+        "b.csv": "NOTE,MONTH\n" + "".join(f"{'x' * (k % 600)},{k}\n" for k in range(3000)),
+        "long/" + "n" * 130 + ".csv": "MONTH\n7\n",
+    }
+    archive(tmp_path / "gz" / "one.tar.gz", members)
+    archive(tmp_path / "gz" / "two.tar.gz", {"c.csv": "MONTH\n8\n"})
+    archive(tmp_path / "plain" / "three.tar", members, "w")
+    want = {"a.csv": [1, 2, 3], "b.csv": list(range(3000)), "n" * 130 + ".csv": [7]}
+    for path, pattern, more in ((tmp_path / "gz", "*.tar.gz", {"c.csv": [8]}), (tmp_path / "plain", "*.tar", {})):
+        rows = read_archives(spark, str(path), ["MONTH", "NOTE"], pattern).collect()
+        found = {}
+        for r in rows:
+            found.setdefault(r["member"], []).append(int(r["MONTH"]))
+        assert {k: sorted(v) for k, v in found.items()} == {**want, **more}
+        assert [r["NOTE"] for r in rows if r["member"] == "a.csv" and r["MONTH"] == "2"] == ["two\nlines"]
+    longest = archive_lines(spark, f"{tmp_path}/gz").agg(F.max(F.length("line"))).first()[0]
+    assert longest < 700
+
+
+def test_pieces_give_back_the_bytes():
+    data = b"ab\n\ncd" * 300 + b"\n"
+    pieces = iter(data[:-1].split(b"\n"))
+    stream = Pieces(lambda: next(pieces, None))
+    out = b""
+    while part := stream.read(7):
+        out += part
+    assert out == data
+    assert list(records([b'a,"x\n', b'y"\n', b"b,2\r\n"])) == ['a,"x\ny"', "b,2"]
 
 
 def test_landing_a_member_again_replaces_it(spark, tmp_path):
