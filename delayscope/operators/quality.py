@@ -4,7 +4,7 @@ The checks are counters over a fixed list of yes/no questions about a record. A
 report counts them straight from the records. ``quality_profile`` evaluates every counter
 of every report: it packs the answers of a record into one integer, counts records per
 distinct integer (a few hundred, combined on the map side) and works out the counters
-from those. Only the duplicate audit has to shuffle records.
+from those. Only the duplicate audit has to move anything per record.
 """
 
 from __future__ import annotations
@@ -86,18 +86,18 @@ class Records:
 
 
 class AnswerCounts:
-    """The same counters over records counted by their answers."""
+    """The same counters over records counted by their answers (and columns ``by``)."""
 
-    def __init__(self, raw: DataFrame):
+    def __init__(self, raw: DataFrame, by: Sequence[str] = ()):
         asked = questions()
         self._bit = {name: 1 << place for place, name in enumerate(asked)}
         packed = " + ".join(f"if({test}, {self._bit[name]}L, 0L)" for name, test in asked.items())
         measured = [*DELAYS, GAP]
         self.frame = (
             raw.selectExpr(
-                f"{packed} AS _answers", *DELAYS, f"if(abs({_GAP}) > {SUM_TOLERANCE}D, abs({_GAP}), null) AS {GAP}"
+                *by, f"{packed} AS _answers", *DELAYS, f"if(abs({_GAP}) > {SUM_TOLERANCE}D, abs({_GAP}), null) AS {GAP}"
             )
-            .groupBy("_answers")
+            .groupBy(*by, "_answers")
             .agg(
                 F.count(F.lit(1)).alias("_n"),
                 *(F.min(c).alias(f"{c}_min") for c in measured),
@@ -122,6 +122,20 @@ class AnswerCounts:
         return f"min({column}_min)"
 
 
+class MergedCounts(AnswerCounts):
+    """The same counters over stored counts of several parts, added up."""
+
+    def __init__(self, counts: DataFrame, by: Sequence[str] = ()):
+        self._bit = {name: 1 << place for place, name in enumerate(questions())}
+        measured = [*DELAYS, GAP]
+        self.frame = counts.groupBy(*by, "_answers").agg(
+            F.sum("_n").alias("_n"),
+            *(F.min(f"{c}_min").alias(f"{c}_min") for c in measured),
+            *(F.max(f"{c}_max").alias(f"{c}_max") for c in measured),
+            F.sum(f"{GAP}_sum").alias(f"{GAP}_sum"),
+        )
+
+
 Counted = Records | AnswerCounts
 Counters = dict[str, str]
 
@@ -281,7 +295,11 @@ def cause_reconcile(raw: DataFrame) -> DataFrame:
 
 def quality_profile(raw: DataFrame) -> DataFrame:
     """Every counter of every report in one pass over the records: (metric, value)."""
-    over = AnswerCounts(raw)
+    return profile_from(AnswerCounts(raw))
+
+
+def profile_from(over: AnswerCounts) -> DataFrame:
+    """The profile of records counted by their answers."""
     counters = {
         "rows": over.count(),
         **status_counters(over), **delay_counters(over), **band_counters(over), **cause_counters(over),
@@ -305,6 +323,22 @@ def missing_causes(raw: DataFrame, per: str) -> DataFrame:
         F.count_if(late & all_null(CAUSES)).alias("all_causes_null"),
         F.count_if(late & ~all_null(CAUSES)).alias("at_least_one_cause"),
     )
+    return _with_total(per_file, per)
+
+
+def missing_causes_from(over: AnswerCounts, per: str) -> DataFrame:
+    """The same from counted answers that carry the column ``per``."""
+    late = f"({over.holds('arr_delay_ge_15')} OR {over.holds('arr_delay_gt_0_lt_15')})"
+    per_file = over.frame.groupBy(per).agg(
+        F.expr(over.count()).alias("total_rows"),
+        F.expr(over.count(late)).alias("positive_delay_rows"),
+        F.expr(over.count(f"{late} AND {_all_null(over)}")).alias("all_causes_null"),
+        F.expr(over.count(f"{late} AND NOT {_all_null(over)}")).alias("at_least_one_cause"),
+    )
+    return _with_total(per_file, per)
+
+
+def _with_total(per_file: DataFrame, per: str) -> DataFrame:
     counts = [c for c in per_file.columns if c != per]
     return (
         per_file.rollup(per)
@@ -322,9 +356,12 @@ def row_counts(raw: DataFrame, expected_months: Iterable[int] = EXPECTED_MONTHS)
     Facts are counted once by (month, carrier); the grouping sets expand only that small
     table. ``unexpected`` marks months that should not occur.
     """
-    base = raw.groupBy("MONTH", F.coalesce("OP_UNIQUE_CARRIER", F.lit("NULL")).alias("_carrier")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    return row_counts_from(raw.groupBy("MONTH", "OP_UNIQUE_CARRIER").agg(F.count(F.lit(1)).alias("_n")), expected_months)
+
+
+def row_counts_from(counted: DataFrame, expected_months: Iterable[int] = EXPECTED_MONTHS) -> DataFrame:
+    """The same from rows counted by (MONTH, OP_UNIQUE_CARRIER)."""
+    base = counted.select("MONTH", F.coalesce("OP_UNIQUE_CARRIER", F.lit("NULL")).alias("_carrier"), "_n")
     level = F.grouping_id("MONTH", "_carrier")
     sets = base.groupingSets([["MONTH"], ["_carrier"], []], "MONTH", "_carrier").agg(
         F.sum("_n").alias("rows"), level.alias("_level")
@@ -343,13 +380,44 @@ def row_counts(raw: DataFrame, expected_months: Iterable[int] = EXPECTED_MONTHS)
     )
 
 
+#: Filter slots per record of the duplicate audit, and the largest filter that is broadcast.
+SLOTS_PER_RECORD = 16
+BROADCAST_BYTES = 64 << 20
+#: Slots of one bitmap: a fixed value of Spark's bitmap functions.
+_BITMAP_SLOTS = 32768
+
+
+def _suspects(raw: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The keys of records that may share their key with another record.
+
+    A record is one slot of a filter. Slots are counted, which moves a few bytes a record
+    instead of the key; the slots that two records fall into become bitmaps, built by
+    bit operations. Where the bitmaps are small enough every task tests its own records, and
+    only those in a repeated slot move.
+    """
+    records = raw.count()
+    slots = max(_BITMAP_SLOTS, 1 << max(0, records * SLOTS_PER_RECORD - 1).bit_length())
+    slot = (F.pmod(F.xxhash64(*key), F.lit(slots)) + 1).alias("_slot")
+    repeated = raw.select(slot).groupBy("_slot").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    bitmaps = repeated.groupBy(F.bitmap_bucket_number("_slot").alias("_block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bitmap")
+    )
+    if slots // 8 <= BROADCAST_BYTES:
+        bitmaps = F.broadcast(bitmaps)
+    place = F.bitmap_bit_position("_slot")
+    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))) != 0
+    tested = raw.select(*key, slot).withColumn("_block", F.bitmap_bucket_number("_slot")).join(bitmaps, "_block")
+    return tested.where(hit).select(*key)
+
+
 def duplicate_audit(raw: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
     """Key groups that occur more than once, and the rows in them. NULLs compare equal.
 
-    Nearly every key is unique, so this shuffles the key columns of all records; size the
-    session for it with ``settings_for_input``. Copies of one key combine before they move.
+    Nearly every key is unique. A filter of slots that hold two records singles out the
+    keys that may repeat; only these are shuffled and counted exactly.
     """
-    repeated = raw.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    repeated = _suspects(raw, key).groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return repeated.agg(
         F.count(F.lit(1)).alias("duplicate_groups"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_in_groups")
     )
