@@ -120,6 +120,46 @@ def _percentiles(function: str) -> str:
     return f"SELECT airline, hour, count(*) AS num_flights, {found} FROM departed GROUP BY airline, hour"
 
 
+def _digest(source: str, keys: str) -> str:
+    """Centroids in order, cut where the scale function of their middle rank passes a whole number."""
+    return (
+        f"SELECT {keys}, sum(total) AS total, CAST(sum(weight) AS BIGINT) AS weight, min(low) AS low, max(high) AS high FROM ("
+        f"SELECT *, floor((asin(2 * least(greatest(middle / whole, 0.0E0), 1.0E0) - 1) / pi() + 0.5E0) * 100) AS unit FROM ("
+        f"SELECT *, CAST(sum(weight) OVER (PARTITION BY {keys} ORDER BY total / weight, low, high, weight ROWS UNBOUNDED PRECEDING) AS DOUBLE) "
+        f"- weight / 2.0E0 AS middle, CAST(sum(weight) OVER (PARTITION BY {keys}) AS DOUBLE) AS whole FROM {source}) a) b GROUP BY {keys}, unit"
+    )
+
+
+_DIGESTS = (
+    (
+        "q3_values",
+        "SELECT carrier AS airline, CAST(floor(crs_dep_time / 100) AS INT) AS hour, mon, dep_delay * count(*) AS total, "
+        "count(*) AS weight, dep_delay AS low, dep_delay AS high FROM flights WHERE carrier IN ('AA', 'DL', 'UA', 'WN') "
+        "AND cancelled = 0 AND dep_delay IS NOT NULL AND floor(crs_dep_time / 100) BETWEEN 0 AND 23 GROUP BY 1, 2, 3, dep_delay",
+    ),
+    ("q3_monthly", _digest("q3_values", "airline, hour, mon")),
+    ("q3_rolled", _digest("q3_monthly", "airline, hour")),
+)
+
+
+def _digest_read(source: str) -> str:
+    def found(p: float, name: str) -> str:
+        return (
+            f"round(min(CASE WHEN {p}E0 * whole >= before AND {p}E0 * whole < place THEN mean_before + (mean - mean_before) * (({p}E0 * whole - before) / (place - before)) "
+            f"WHEN ending AND {p}E0 * whole >= place THEN mean + (most - mean) * (({p}E0 * whole - place) / (whole - place)) END), 4) AS {name}"
+        )
+
+    names = ", ".join(found(p, n) for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.9, "p90")))
+    return (
+        f"SELECT airline, hour, CAST(max(whole) AS BIGINT) AS num_flights, {names} FROM (SELECT *, "
+        "coalesce(lag(place) OVER o, 0.0E0) AS before, coalesce(lag(mean) OVER o, least_one) AS mean_before, lead(place) OVER o IS NULL AS ending "
+        "FROM (SELECT *, total / weight AS mean, CAST(sum(weight) OVER (PARTITION BY airline, hour ORDER BY total / weight, low, high, weight "
+        "ROWS UNBOUNDED PRECEDING) AS DOUBLE) - weight / 2.0E0 AS place, CAST(sum(weight) OVER g AS DOUBLE) AS whole, min(low) OVER g AS least_one, "
+        f"max(high) OVER g AS most FROM {source} WINDOW g AS (PARTITION BY airline, hour)) a "
+        "WINDOW o AS (PARTITION BY airline, hour ORDER BY mean, low, high, weight)) b GROUP BY airline, hour"
+    )
+
+
 HOURLY = ("hourly", _percentiles("quantile_disc"))
 HOURLY_METRICS = ["num_flights", "p25", "p50", "p75", "p90"]
 EXTREMES = (
@@ -321,6 +361,7 @@ def _stats(source: str, keys: str, digits: int | None = 3) -> str:
 
 
 STATS = ("stats", _stats("log", "worker_count, query, impl, phase"))
+# How reports name the techniques, and their notes.
 ALGORITHM = (
     "CASE WHEN impl = 'df' THEN 'Spark DataFrame' WHEN impl = 'rdd' AND query = 'Q3' THEN 'RDD + t-digest' "
     "WHEN impl = 'rdd' THEN 'Spark RDD' ELSE '' END"
@@ -432,7 +473,8 @@ def all_sql() -> dict[str, str]:
         + " FROM carriers",
         CARRIERS,
     )
-    for name in ("clean_flights", "ingest_filter", "ingest_incremental", "parquet_roundtrip"):
+    sql["csv_one_file"], sql["csv_by_name_mixed"] = sql["csv_roundtrip"], sql["csv_by_name"]
+    for name in ("clean_flights", "ingest_filter", "ingest_incremental", "ingest_when_complete", "parquet_roundtrip"):
         sql[name] = CLEAN_ALL
     sql["output_ready"] = _clean(
         "SELECT 'processed' AS output, count(*) AS rows, count(*) > 0 AS ready FROM flights "
@@ -451,6 +493,7 @@ def all_sql() -> dict[str, str]:
         f"SELECT *, 'q1' AS feed FROM ({q1_values}) a UNION ALL SELECT *, 'q3' FROM ({q3_minmax_values}) b",
         MONTHLY, DEPARTED, EXTREMES,
     )
+    sql["feed_versions"] = sql["feed_republish"]
     coerced = _TEXT_NUMBER.format(c="time_s")
     workers = f"CAST(trunc({_TEXT_NUMBER.format(c='worker_count')}) AS BIGINT)"
     sql["dq_coerce"] = _with(
@@ -481,6 +524,8 @@ def all_sql() -> dict[str, str]:
         "TRUE AS p90_ok FROM departed GROUP BY airline, hour",
         DEPARTED,
     )
+    sql["q3_digest_ranks"] = sql["q3_sketch_ranks"]
+    sql["q3_sketch"] = _clean(_digest_read("q3_rolled"), *_DIGESTS)
     sql["carrier_hourly_status"] = _clean(
         "SELECT CAST(floor(crs_dep_time / 100) AS INT) AS hour, count(*) AS total_flights, "
         f"{_n('cancelled = 1')} AS cancelled, {_n('cancelled = 0')} AS not_cancelled, "
@@ -621,6 +666,7 @@ def all_sql() -> dict[str, str]:
         "SELECT event_type, date_trunc('hour', ts) AS ts, value, event_id FROM events "
         "QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id DESC) = 1"
     )
+    sql["feed_upsert"] = sql["feed_last_wins"]
     sql["feed_json_rows"] = _with(
         'SELECT worker_count AS "Worker Count", query AS "Query", impl AS "Format", phase AS "Phase", n AS "Iterations", '
         'mean_s AS "Mean", std_s AS "Std Dev", median_s AS "Median", min_s AS "Min", max_s AS "Max" FROM stats',
@@ -745,4 +791,5 @@ def all_sql() -> dict[str, str]:
         "USING (worker_count, query, impl, phase) WHERE coalesce(s.n, 0) < 5",
         TLOG, GRID,
     )
+    sql["dq_running"] = sql["dq_profile"]
     return sql

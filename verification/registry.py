@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delayscope.functions import bad_minutes, hour_of, number, number_or_zero, thousands, whole, whole_or_zero
-from delayscope.operators import carriers, compare, feeds, hourly, monthly, night, quality, timings
+from delayscope.operators import carriers, compare, digest, feeds, hourly, monthly, night, quality, running_quality, timings
 from delayscope.operators.cleaning import clean_flights
-from delayscope.schema import PROCESSED_COLUMNS
+from delayscope.schema import HOURLY_KEYS, PROCESSED_COLUMNS
 from delayscope.sinks import files as sinks
+from delayscope.sinks import upserts, versions
 from delayscope.sinks.scratch import scratch_path
 from delayscope.sources import files as sources
-from delayscope.sources.archives import unpack_archives
-from delayscope.streaming.landing import ingest_available
+from delayscope.sources.archives import read_archives
+from delayscope.streaming.landing import ingest_available, ingest_when_quiet, poll_landing
 from verification import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,31 +58,40 @@ def result_readback(spark, sf):
     return sources.read_result(spark, path)
 
 
-@query
-def ingest_filter(spark, sf):
-    """Flights packed into compressed archives beside files to ignore, unpacked and cleaned."""
-    raw = inputs.raw_flights(spark, sf)
-    texts = raw.selectExpr(*(f"cast({c} AS string) AS {c}" for c in raw.columns))
+def _tar_rows(batches):
+    """Every batch as a CSV member of a tar stream, beside files to ignore.
+
+    A row is a header block, the content and its padding less one byte: the line feed that the
+    text writer adds completes the block.
+    """
+    import io
+    import tarfile
+
+    import pandas as pd
 
-    def pack(batches):
-        import io
-        import tarfile
+    def member(name, content):
+        if len(content) % 512 == 0:
+            content += b"\n"
+        entry = tarfile.TarInfo(name)
+        entry.size = len(content)
+        padding = b"\0" * (511 - len(content) % 512)
+        return (entry.tobuf(tarfile.USTAR_FORMAT) + content + padding).decode()
 
-        import pandas as pd
+    for i, batch in enumerate(batches):
+        data = batch.to_csv(index=False).encode()
+        names = {f"data/flights_{i}.csv": data, f"data/.flights_{i}.csv": data, f"data/notes_{i}.txt": b"no table"}
+        yield pd.DataFrame({"value": [member(n, c) for n, c in names.items()]})
+    yield pd.DataFrame({"value": ["\0" * 1023]})
 
-        for batch in batches:
-            data = batch.to_csv(index=False).encode()
-            members = {"data/flights.csv": data, "data/.flights.csv": data, "data/notes.txt": b"no table"}
-            packed = io.BytesIO()
-            with tarfile.open(fileobj=packed, mode="w:gz") as archive:
-                for name, content in members.items():
-                    entry = tarfile.TarInfo(name)
-                    entry.size = len(content)
-                    archive.addfile(entry, io.BytesIO(content))
-            yield pd.DataFrame({"path": ["flights.tar.gz"], "content": [packed.getvalue()]})
 
-    archives = texts.mapInPandas(pack, "path string, content binary")
-    return clean_flights(sources.convert_raw(unpack_archives(archives)))
+@query
+def ingest_filter(spark, sf):
+    """Flights packed into compressed archives beside files to ignore, streamed out and cleaned."""
+    raw = inputs.raw_flights(spark, sf)
+    texts = raw.selectExpr(*(f"cast({c} AS string) AS {c}" for c in raw.columns))
+    path = scratch_path(spark, "archives")
+    texts.mapInPandas(_tar_rows, "value string").write.option("compression", "gzip").text(path)
+    return clean_flights(sources.convert_raw(read_archives(spark, path, name_pattern="*.gz")))
 
 
 @query
@@ -92,6 +102,43 @@ def ingest_incremental(spark, sf):
     return sources.read_processed(spark, table)
 
 
+@query
+def ingest_when_complete(spark, sf):
+    """Files land in three drops; rows are taken in only when four are there and three rounds were quiet."""
+    landing, notes, table, done = (scratch_path(spark, part) for part in ("landing", "notes", "table", "progress"))
+    raw = inputs.raw_flights(spark, sf)
+    part = F.pmod(F.xxhash64(*raw.columns), F.lit(4))
+    number = 0
+    for drop in ([0, 1], [2], [3]):
+        for k in drop:
+            raw.where(part == k).coalesce(1).write.mode("append").option("header", True).csv(landing)
+        for _ in range(4):
+            poll_landing(spark, landing, notes, number)
+            number += 1
+    ingest_when_quiet(spark, notes, table, done)
+    return sources.read_processed(spark, table)
+
+
+@query
+def csv_one_file(spark, sf):
+    """All flights through one ordered file, written in parallel and joined by the file system."""
+    path = scratch_path(spark, "one-file")
+    sinks.write_csv(inputs.raw_flights(spark, sf), path, order_by=["YEAR", "MONTH", "DAY_OF_MONTH"], single_file=True)
+    return sources.read_raw(spark, path)
+
+
+@query
+def csv_by_name_mixed(spark, sf):
+    """Files of three column orders, one with a column more, in one folder."""
+    path = scratch_path(spark, "by-name-mixed")
+    raw = inputs.raw_flights(spark, sf)
+    part = F.pmod(F.xxhash64(*raw.columns), F.lit(3))
+    shapes = [list(raw.columns), list(reversed(raw.columns)), [F.lit("x").alias("EXTRA"), *sorted(raw.columns)]]
+    for k, shape in enumerate(shapes):
+        raw.where(part == k).select(*shape).write.mode("append").option("header", True).csv(path)
+    return sources.read_by_name(spark, path).select(*PROCESSED_COLUMNS)
+
+
 @query
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "parquet")
@@ -124,6 +171,33 @@ def feed_republish(spark, sf):
     return spark.read.parquet(path)
 
 
+@query
+def feed_versions(spark, sf):
+    """Feeds replaced in one step: a version that is written but not yet published is not seen."""
+    path = scratch_path(spark, "versioned-feeds")
+    flights = inputs.flights(spark, sf)
+    points = feeds.monthly_values(monthly.monthly_stats(flights))
+    extremes = feeds.extreme_values(hourly.delay_extremes(flights))
+    versions.publish_feed_version(points.where("value > 0"), path, "q1")
+    versions.publish_feed_version(extremes, path, "q3")
+    versions.publish_feed_version(points, path, "q1")
+    versions.write_version(points.where("value < 0"), f"{path}/q1")
+    return versions.read_feeds(spark, path, ["q1", "q3"])
+
+
+@query
+def feed_upsert(spark, sf):
+    """A stored series brought up to date three times, the oldest events last of all."""
+    path = scratch_path(spark, "series")
+    events = inputs.table(spark, sf, "events").select(
+        "event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "event_id", "value"
+    )
+    part = F.col("event_id") % 10
+    for chosen in (part.between(3, 6), part > 6, part < 3):
+        upserts.upsert_points(events.where(chosen), path, ["event_type", "ts"], "value", "event_id", buckets=16)
+    return upserts.read_points(spark, path)
+
+
 # --- cleaning and expressions ---------------------------------------------------------
 
 
@@ -204,7 +278,21 @@ def q3_minmax(spark, sf):
 
 @query
 def q3_sketch(spark, sf):
-    return hourly.read_sketches(hourly.delay_sketches(inputs.flights(spark, sf)))
+    """One digest per month, rolled up to (airline, hour) and read."""
+    departures = hourly.hourly_departures(inputs.flights(spark, sf), keep=["MONTH"])
+    by_month = digest.digest_by(departures, HOURLY_KEYS, "MONTH", "DEP_DELAY")
+    rolled = digest.merge_digests(by_month, HOURLY_KEYS)
+    return digest.read_digests(rolled, HOURLY_KEYS, hourly.PROBABILITIES).withColumnRenamed("n", "num_flights")
+
+
+@query
+def q3_digest_ranks(spark, sf):
+    """Digests of tasks merged per month and rolled up, judged by the stated bound on ranks."""
+    departures = hourly.hourly_departures(inputs.flights(spark, sf), keep=["MONTH"])
+    by_month = digest.build_digests(departures, [*HOURLY_KEYS, "MONTH"], "DEP_DELAY")
+    estimates = digest.read_digests(digest.merge_digests(by_month, HOURLY_KEYS), HOURLY_KEYS, hourly.PROBABILITIES, digits=None)
+    checked = digest.digest_rank_check(departures, estimates, HOURLY_KEYS, "DEP_DELAY", hourly.PROBABILITIES, levels=4)
+    return checked.withColumnRenamed("n", "num_flights")
 
 
 @query
@@ -289,6 +377,30 @@ def dq_profile(spark, sf):
     return quality.quality_profile(inputs.raw_flights(spark, sf))
 
 
+@query
+def dq_running(spark, sf):
+    """The profile from states per file, after two increments and a file that was replaced."""
+    landing, root = scratch_path(spark, "quality-landing"), scratch_path(spark, "quality-states")
+    raw = inputs.raw_flights(spark, sf)
+    part = F.pmod(F.xxhash64(*raw.columns), F.lit(3))
+
+    def land(k, rows):
+        sinks.write_csv(rows, f"{landing}/{k}", single_file=True)
+
+    def update():
+        return running_quality.update_states(
+            spark, sources.landed_files(spark, landing), lambda paths: sources.read_raw(spark, paths), root
+        )
+
+    land(0, raw.where(part == 0))
+    land(1, raw.where(part < 2))
+    update()
+    land(1, raw.where(part == 1))
+    land(2, raw.where(part == 2))
+    update()
+    return running_quality.profile_of(running_quality.states_at(spark, root))
+
+
 @query
 def dq_number_texts(spark, sf):
     """Row counts and mean delays per carrier as grouped number texts."""
