@@ -131,12 +131,80 @@ def restore(word: str, model: CharacterModel) -> str:
     return min((so_far + cost[a][b][EDGE], letters) for (a, b), (so_far, letters) in paths.items())[1]
 
 
+_REPEATED = re.compile(r"(.)\1+")
+
+
+class Beginnings:
+    """A trie of what features begin with, run along the characters of set-apart words.
+
+    ``may_begin`` says whether some path of the lattice from here may spell a feature:
+    letters stay in order, repeated ones count once, other characters are dropped or stand
+    for the letters they look like. Where it says no, decoding could find nothing.
+    """
+
+    def __init__(self, features: Iterable[str], most: int = 400_000):
+        self.root: dict = {}
+        for feature in features:
+            node = self.root
+            for letter in _REPEATED.sub(r"\1", feature[1:]):
+                node = node.setdefault(letter, {})
+            node[""] = {}
+        self.most = most
+        self.tokens: dict[str, bool] = {}
+
+    def _step(self, nodes: list, c: str) -> list | None:
+        """The nodes after a character, None where a feature ends."""
+        if c == " ":
+            return nodes
+        letters, now = (c, []) if c.isalpha() else (STANDS_FOR.get(c, ""), list(nodes))
+        for letter in letters:
+            for node, last in nodes:
+                if letter == last:
+                    now.append((node, last))
+                child = node.get(letter)
+                if child is not None:
+                    if "" in child:
+                        return None
+                    now.append((child, letter))
+        return now
+
+    def _alive(self, text: str) -> bool:
+        nodes: list | None = [(self.root, "")]
+        for c in text:
+            nodes = self._step(nodes, c)
+            if not nodes:
+                return nodes is None
+        return True
+
+    def may_begin(self, tokens: list[str], at: int) -> bool:
+        """Whether a feature may be spelt from the beginning of token ``at``."""
+        token = tokens[at]
+        alive = self.tokens.get(token)
+        if alive is None:
+            if len(self.tokens) >= self.most:
+                self.tokens.clear()
+            alive = self.tokens[token] = self._alive(token)
+        if not alive:
+            return False
+        nodes: list | None = [(self.root, "")]
+        for c in " ".join(tokens[at:]):
+            nodes = self._step(nodes, c)
+            if not nodes:
+                return nodes is None
+        return False
+
+
 class Words(dict):
-    """What a word of the text stands for, kept for the words seen lately."""
+    """What a word of the text stands for, kept for the words seen lately.
+
+    With ``features``, the only ones of interest, set-apart words that can spell none of
+    them are not decoded.
+    """
 
-    def __init__(self, model: CharacterModel, use, most: int = 400_000):
+    def __init__(self, model: CharacterModel, use, most: int = 400_000, features: Iterable[str] | None = None):
         super().__init__()
         self.model, self.use, self.most = model, use, most
+        self.beginnings = None if features is None else Beginnings(features, most)
         self.chunks: dict[str, tuple] = {}
         self.junctions: dict[str, bool] = {}
 
@@ -172,11 +240,15 @@ class Words(dict):
         """What words stand for that were set apart by spaces, letter by letter or in chunks."""
         for run in _CHUNKS.findall((text or "").lower()):
             tokens = run.split()
+            begins = range(len(tokens)) if self.beginnings is None else [k for k in range(len(tokens) - 1) if self.beginnings.may_begin(tokens, k)]
+            if not begins:
+                continue
             first = 0
             for i in range(1, len(tokens) + 1):
                 if i < len(tokens) and self.may_join(tokens[i - 1], tokens[i]):
                     continue
-                if i - first > 1:
+                # A word of several tokens begins with one of them but the last.
+                if i - first > 1 and any(first <= k < i - 1 for k in begins):
                     yield self.restored(" ".join(tokens[first:i]))
                 first = i
 
@@ -320,7 +392,7 @@ def train(docs: DataFrame, labels: DataFrame, language: CharacterModel, rows: in
     draft = Model(lexicon, np.zeros(len(lexicon)), 0.0)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(language, draft.known)
+        known = Words(language, draft.known, features=draft.index)
         for batch in batches:
             found = [present(t, known) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["label", "found"])
@@ -345,7 +417,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
     model = train(docs, labels, language, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(language, model.known)
+        known = Words(language, model.known, features=model.index)
         for batch in batches:
             z = np.array([model.weights[present(t, known)].sum() + model.bias for t in batch.column(2).to_pylist()], float)
             yield pa.record_batch([
@@ -357,7 +429,12 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
+    """The documents that are not predicted toxic, with all their columns.
+
+    Null and empty texts score by the share of toxic labels alone, and stay where that is
+    under a half; rows that repeat, with or without id, stay or go together. Every text is
+    read whole. An empty table stays empty; no column is added, so no name clashes.
+    """
     language = character_model(docs)
     model = train(docs, labels, language, rows)
 
@@ -365,7 +442,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> D
     def toxic(texts):
         import pandas as pd
 
-        known = Words(language, model.known)
+        known = Words(language, model.known, features=model.index)
         return pd.Series([bool(model.weights[present(t, known)].sum() + model.bias >= 0) for t in texts], dtype=bool)
 
     return docs.filter(~toxic(F.col("text").cast("string")))
