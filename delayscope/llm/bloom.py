@@ -15,6 +15,8 @@ BLOCK_BITS = 32768
 BITS_PER_ENTRY = 16
 #: Largest filter that is broadcast (bytes). A larger one is joined by shuffling.
 BROADCAST_BYTES = 64 << 20
+#: Rows of 64 slots that are broadcast at most: a few times their 16 bytes in memory.
+BROADCAST_WORDS = 1 << 20
 
 
 def filter_bits(entries: int, bits_per_entry: int = BITS_PER_ENTRY) -> int:
@@ -50,15 +52,24 @@ def probe(rows: DataFrame, value: Column, filters: DataFrame, seed: int, bits: i
     )
 
 
+def words(slots: DataFrame) -> DataFrame:
+    """A filter as a table of 64 slots a row: ``word``, ``bits``. Cheaper to test than a bitmap."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("slot") % 64).cast("int"))
+    return slots.groupBy(F.floor(F.col("slot") / 64).cast("long").alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
 def maybe_among(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     """The rows whose value in ``column`` may be among those of ``wanted``, without moving a row.
 
     Keeps every row that is, and few that are not; a semi join of what is left settles it.
-    ``wanted`` should be stored: it is counted. Past the broadcast bound nothing is left
-    out, and the semi join does all the work.
+    ``wanted`` should be stored: it is counted. A filter of more than ``BROADCAST_WORDS``
+    rows is not built; nothing is left out then, and the semi join does all the work.
     """
     bits = filter_bits(wanted.count())
-    if bits // 8 > BROADCAST_BYTES:
+    if bits // 64 > BROADCAST_WORDS:
         return rows
-    filters = bitmaps(wanted.select(slot(F.col(column), 3, bits).alias("slot")))
-    return probe(rows, F.col(column), filters, 3, bits).filter("hit").drop("hit")
+    filters = words(wanted.select(slot(F.col(column), 3, bits).alias("slot")))
+    here = slot(F.col(column), 3, bits)
+    met = rows.withColumn("filter_slot", here).withColumn("word", F.floor(F.col("filter_slot") / 64).cast("long")).join(F.broadcast(filters), "word")
+    bit = F.call_function("shiftright", F.col("bits"), (F.col("filter_slot") % 64).cast("int")).bitwiseAND(F.lit(1).cast("long"))
+    return met.filter(bit != 0).select(*rows.columns)

@@ -66,16 +66,18 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
     return shared
 
 
-def candidate_pairs(shared: DataFrame, possible: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+def candidate_pairs(shared: DataFrame, possible: Callable[[Column, Column], Column] | None = None,
+                    most: int = SMALL_BUCKET) -> tuple[DataFrame, DataFrame]:
     """(pairs (a, b) of the small buckets, rows (key, id, mark) of the larger ones).
 
-    ``possible`` tests the marks of two members and spares unlike ones any further check.
+    ``possible`` tests the marks of two members and spares unlike ones any further check;
+    a small bucket has at most ``most`` members, so that there are most / 2 pairs a row.
     """
     if "mark" not in shared.columns:
         shared = shared.withColumn("mark", F.lit(0))
     sizes = stored(shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "bucket-sizes")
-    small = stored(shared.join(sizes.filter(F.col("n") <= SMALL_BUCKET), "key").select("key", "id", "mark"), "small-buckets")
-    large = stored(shared.join(sizes.filter(F.col("n") > SMALL_BUCKET), "key").select("key", "id", "mark"), "large-buckets")
+    small = stored(shared.join(sizes.filter(F.col("n") <= most), "key").select("key", "id", "mark"), "small-buckets")
+    large = stored(shared.join(sizes.filter(F.col("n") > most), "key").select("key", "id", "mark"), "large-buckets")
     x, y = small.select("key", F.col("id").alias("a"), F.col("mark").alias("m")), small.select("key", F.col("id").alias("b"), F.col("mark").alias("o"))
     alike = F.lit(True) if possible is None else possible(F.col("m"), F.col("o"))
     pairs = stored(x.join(y, "key").filter((F.col("a") < F.col("b")) & alike).select("a", "b").distinct(), "small-pairs")

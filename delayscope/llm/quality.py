@@ -199,8 +199,9 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
     good if one says so. Only the text enters the score. Null and empty texts are a
     document without words (all zeros) and get the score of that; where no label, or only
     one kind of label, can be used, every score is the share of good labels (0.5 without
-    any). Rows that repeat are scored each; a row without id counts as held out. An empty
-    table gives an empty result; other columns are not read.
+    any). Rows that repeat are scored each, of rows that share a labelled id one is learned
+    from; a row without id counts as held out. An empty table gives an empty result; other
+    columns are not read. The same rows give the same scores however they are partitioned.
     """
     vectors = word_vectors(docs)
 
@@ -216,8 +217,12 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
         labels.filter(~held_out() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    # At most ``rows`` labels are broadcast, and as many short vectors fetched.
-    sample = table.join(F.broadcast(chosen), "doc_id").select("x", "label").limit(2 * rows).toArrow()
+    # At most ``rows`` labels are broadcast, and as many short vectors fetched, in an order that
+    # no partitioning changes: of rows that share an id the smallest vector counts.
+    sample = (
+        table.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("x").alias("x"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id").select("x", "label").toArrow()
+    )
     y = np.array(sample.column("label").to_pylist(), float)
     share = float((y != 0).mean()) if len(y) else 0.5
     network = None

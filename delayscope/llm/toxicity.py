@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delayscope.llm.common import WHITE
+from delayscope.llm.common import WHITE, discard, stored
 
 #: Labelled rows the model is fitted on at most: those of the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
@@ -350,25 +350,27 @@ def character_model(docs: DataFrame) -> CharacterModel:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, usable, rows: int) -> DataFrame:
-    """(label, text) of at most ``rows`` labelled documents, by the smallest hashes of their ids."""
+    """(doc_id, label, text) of at most ``rows`` labelled documents, by the smallest hashes of their ids."""
     chosen = (
         labels.filter(usable & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    # At most ``rows`` ids and labels: broadcast, so that no text moves.
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("label", "text")
+    # At most ``rows`` ids and labels are broadcast, and only their texts move; of rows that
+    # share an id the smallest text counts.
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, language: CharacterModel, rows: int = SAMPLE_ROWS) -> Model:
     """Lexicon and weights from the labelled sample."""
-    labelled = sample(docs, labels, "toxic", ~held_out(), rows)
+    labelled = stored(sample(docs, labels, "toxic", ~held_out(), rows), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Words(language, features_of)
         seen = (Counter(), Counter())
         for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for label, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 seen[label != 0].update(held_by(text, features))
         names = list(seen[0].keys() | seen[1].keys())
         yield pa.record_batch([
@@ -394,11 +396,12 @@ def train(docs: DataFrame, labels: DataFrame, language: CharacterModel, rows: in
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(language, draft.known, features=draft.index)
         for batch in batches:
-            found = [present(t, known) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["label", "found"])
+            found = [present(t, known) for t in batch.column(2).to_pylist()]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "label", "found"])
 
     # Bounded: ``rows`` rows of at most LEXICON small numbers.
-    table = labelled.mapInArrow(look_up, "label int, found array<int>").toArrow()
+    table = labelled.mapInArrow(look_up, "doc_id long, label int, found array<int>").orderBy("doc_id").toArrow()
+    discard(labelled)
     answers = (np.array(table.column("label").to_pylist()) != 0).astype(float)
     return Model(lexicon, *fit(table.column("found").to_pylist(), answers, len(lexicon)))
 
@@ -411,7 +414,8 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
     as toxic if one says so. Only the text enters the score. Null and empty texts score by
     the share of toxic labels alone; so does everything where no label, or only one kind of
     label, can be used. Rows that repeat are scored each; a row without id counts as held
-    out. An empty table gives an empty result; other columns are not read.
+    out. An empty table gives an empty result; other columns are not read. The same rows give
+    the same scores however they are partitioned.
     """
     language = character_model(docs)
     model = train(docs, labels, language, rows)
