@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delayscope.llm.common import stored
+from delayscope.llm.common import stored, unused
 from delayscope.llm.shingles import WORDS, WordHashes, shingle_set, words_of
 
 PERCENT = 75
@@ -53,7 +53,13 @@ class Index:
         hashes = WordHashes()
         self.ids = [i for i, _ in items]
         self.exact = [exact_shingles(words_of(t)) for _, t in items]
-        sets = [shingle_set(words_of(t), hashes) for _, t in items]
+        words = [words_of(t) for _, t in items]
+        #: Items of fewer words than a shingle, by their number of words.
+        self.short: dict[int, dict[bytes, list[int]]] = {}
+        for k, w in enumerate(words):
+            if 0 < len(w) < WORDS:
+                self.short.setdefault(len(w), {}).setdefault(b" ".join(w), []).append(k)
+        sets = [shingle_set(w if len(w) >= WORDS else [], hashes) for w in words]
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         elements = np.concatenate(sets) if sets else np.empty(0, np.uint64)
         order = np.argsort(elements)
@@ -73,6 +79,15 @@ class Index:
         return found
 
 
+    def short_ones(self, words: list[bytes]) -> set[int]:
+        """Short items that stand in the text as a run of words."""
+        found: set[int] = set()
+        for width, known in self.short.items():
+            for run in {b" ".join(words[i:i + width]) for i in range(len(words) - width + 1)} & known.keys():
+                found.update(known[run])
+        return found
+
+
 def exact_shingles(words: list[bytes]) -> frozenset[bytes]:
     """The shingles themselves, words joined by a blank (which no word holds)."""
     width = min(WORDS, len(words))
@@ -85,8 +100,8 @@ LINKS = "item_id long, doc_id long, n_item long, n_shared long"
 def contained_items(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
     """(item_id, doc_id, n_item, n_shared) wherever a document holds 75 % of an item's shingles.
 
-    Shingles are distinct runs of five words, A-Z lower-cased; a text of fewer words is one
-    shingle, so a very short item is found only as a whole text. Texts without words hold
+    Shingles are distinct runs of five words, A-Z lower-cased. An item of fewer words is one
+    shingle of its own width, held by every document in which its words stand in a row. Texts without words hold
     nothing and lie in nothing. n_item is the size of the item's set, n_shared what the
     document's set shares with it. However far apart in the document the shared shingles
     lie, they count.
@@ -119,6 +134,7 @@ def contained_items(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS)
                         shared = len(item & held)
                         if 100 * shared >= PERCENT * len(item):
                             rows.append((known.ids[k], doc, len(item), shared))
+                    rows.extend((known.ids[k], doc, 1, 1) for k in known.short_ones(words))
                 yield pa.record_batch([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], names=["item_id", "doc_id", "n_item", "n_shared"])
 
         links = source.mapInArrow(search, LINKS)
@@ -127,8 +143,14 @@ def contained_items(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no item, with all their columns; rows without id are judged alike."""
-    keyed = docs.withColumn("key_of_row", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    links = contained_items(keyed.select(F.col("key_of_row").alias("doc_id"), "text"), items)
-    tainted = stored(links.select(F.col("doc_id").alias("key_of_row")).distinct(), "contaminated")
-    return keyed.join(tainted, "key_of_row", "left_anti").select(*docs.columns)
+    """The documents that hold no item, with all their columns.
+
+    Null and empty texts hold nothing and stay; rows without id are judged by their text,
+    rows that repeat alike. No items leave all documents, an empty table stays empty;
+    helper columns get names that are free.
+    """
+    (key,) = unused(docs.columns, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    links = contained_items(keyed.select(F.col(key).alias("doc_id"), "text"), items)
+    tainted = stored(links.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(tainted, key, "left_anti").select(*docs.columns)

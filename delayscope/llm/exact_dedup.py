@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayscope.llm import bloom
-from delayscope.llm.common import WHITE, stored, text_of
+from delayscope.llm.common import WHITE, stored, text_of, unused
 
 def normalised(text: Column) -> Column:
     """The text without any white space of the set the contract names."""
@@ -65,9 +65,9 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
     suspects = marked.filter("hit").drop("hit")
     groups = suspects.groupBy("text_sha256").agg(
         F.count(F.lit(1)).alias("group_size"),
-        # The largest (code points, -id): most code points first, then the smallest id.
-        F.max(F.struct("n_points", (-F.col("doc_id")).alias("negative"))).alias("best"),
-    ).select("text_sha256", "group_size", (-F.col("best.negative")).alias("keep_id"))
+        # The largest (code points, inverted id): most code points first, then the smallest id.
+        F.max(F.struct("n_points", F.bitwise_not(F.col("doc_id").cast("long")).alias("inverted"))).alias("best"),
+    ).select("text_sha256", "group_size", F.bitwise_not(F.col("best.inverted")).alias("keep_id"))
     # Stored first: the join then has plain shuffles on both sides, which can be split.
     copies = suspects.join(stored(groups, "exact-groups"), "text_sha256")
     columns = ["doc_id", "keep_id", "group_size", F.col("keep_id").eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256"]
@@ -76,6 +76,14 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 
 def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = exact_duplicates(docs, id_column, text_column).filter("kept").select(F.col("doc_id").alias(id_column)).distinct()
-    return docs.join(kept, id_column, "left_semi")
+    """The documents that stay, with all their columns: of each group of equal texts its winner.
+
+    Null text is the empty text. A row without id stays where its text equals no other, or
+    where no row of its group has an id; rows that repeat entirely stay or go together. An
+    empty table stays empty; helper columns get names that are free.
+    """
+    own, digest = unused(docs.columns, "kept_id", "kept_sha256")
+    found = exact_duplicates(docs, id_column, text_column).filter("kept")
+    kept = found.select(F.col("doc_id").alias(own), F.col("text_sha256").alias(digest)).distinct()
+    same = docs[id_column].eqNullSafe(kept[own]) & (F.sha2(normalised(F.coalesce(docs[text_column].cast("string"), F.lit(""))).cast("binary"), 256) == kept[digest])
+    return docs.join(kept, same, "left_semi")

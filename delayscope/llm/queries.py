@@ -53,11 +53,48 @@ def op10_chat_format(spark, sf):
     return chat_format.read_back(chat_format.format_chats(turns.unionByName(added)))
 
 
+SQL["op10_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+c AS (
+  SELECT *, coalesce(role, '') AS who, coalesce(text, '') AS said, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place FROM t),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(who || chr(10) || said || chr(10), '' ORDER BY place) AS whole,
+    coalesce(string_agg(said, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS loss,
+    CAST(sum(13 + length(regexp_replace(who, '([\\<\[\n])', 'xx', 'g')) + length(regexp_replace(said, '([\\<\[])', 'xx', 'g'))) AS BIGINT) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
+"""
+
+
 @query
 def op6_near_dedup(spark, sf):
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
 
 
+SQL["op6_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.y FROM reached r JOIN both_ways e ON e.x = r.other)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, d.doc_id = min(other) AS kept
+FROM documents d JOIN reached r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 @query
 def op3_line_dedup(spark, sf):
     return line_dedup.line_decisions(table(spark, sf, "documents")).drop("doc_key")
@@ -90,12 +127,15 @@ WITH words AS (
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark)),
 shingles AS (
-  SELECT DISTINCT kind, id, unnest(list_transform(range(greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS s
-  FROM words WHERE len(w) > 0),
+  SELECT DISTINCT kind, id, unnest(list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS s
+  FROM words WHERE len(w) > 4),
 sizes AS (SELECT id, count(*) AS n_item FROM shingles WHERE kind = 'b' GROUP BY id)
 SELECT b.id AS item_id, d.id AS doc_id, any_value(n_item) AS n_item, count(*) AS n_shared
 FROM shingles b JOIN shingles d ON d.s = b.s AND d.kind = 'd' JOIN sizes ON sizes.id = b.id
 WHERE b.kind = 'b' GROUP BY b.id, d.id HAVING 100 * count(*) >= 75 * any_value(n_item)
+UNION ALL
+SELECT b.id, d.id, 1, 1 FROM words b JOIN words d ON contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || array_to_string(b.w, ' ') || ' ')
+WHERE b.kind = 'b' AND d.kind = 'd' AND len(b.w) BETWEEN 1 AND 4
 """
 
 
@@ -104,6 +144,26 @@ def op7_substring_dedup(spark, sf):
     return substring_dedup.repeated_bytes(table(spark, sf, "documents"))
 
 
+SQL["op7_substring_dedup"] = r"""
+WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS body, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+starts AS (SELECT doc_id, unnest(range(n - 399)) AS i FROM t WHERE n >= 400),
+prints AS (SELECT doc_id, i, md5(array_slice(body, i + 1, i + 400)) AS h FROM starts JOIN t USING (doc_id)),
+found AS (SELECT doc_id, i FROM prints WHERE h IN (SELECT h FROM prints GROUP BY h HAVING count(*) > 1)),
+marked AS (SELECT *, CASE WHEN lag(i) OVER w + 400 >= i THEN 0 ELSE 1 END AS begins FROM found WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS z FROM numbered GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(z) OVER w, 0) AS a, a AS z FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT t.doc_id, coalesce(max(s.z), 0), any_value(t.n) FROM t LEFT JOIN spans s ON s.doc_id = t.doc_id GROUP BY t.doc_id),
+left_over AS (
+  SELECT g.doc_id, string_agg(CASE WHEN g.z > g.a THEN hex(array_slice(body, g.a + 1, g.z)) ELSE '' END, '' ORDER BY g.a) AS kept FROM gaps g JOIN t ON t.doc_id = g.doc_id GROUP BY g.doc_id),
+removals AS (SELECT doc_id, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT t.doc_id, t.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256,
+  coalesce(n_removed, 0) > 0 AS removed
+FROM t JOIN left_over l ON l.doc_id = t.doc_id LEFT JOIN removals r ON r.doc_id = t.doc_id
+"""
+
+
 @query
 def op4_quality(spark, sf):
     return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))

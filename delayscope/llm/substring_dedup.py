@@ -1,11 +1,11 @@
-"""Repeated substrings, removed byte by byte: longest previous factors over suffix order.
+"""Repeated substrings, removed byte by byte: suffixes grouped at the threshold of their factors.
 
 A byte goes when a string of 400 bytes that covers it starts somewhere else too. Suffixes
 that agree in their first 400 bytes stand together in suffix order; among them a position
 with a smaller one in its run has an earlier match (its longest previous factor has 400
 bytes or more), one with a larger one a later match. Only that threshold is asked for, so
-suffixes are ordered by a 128-bit fingerprint of their first 400 bytes instead of the bytes
-themselves: the order within and between runs differs, the runs do not.
+no suffix array and no factor lengths are built: suffixes are grouped by a 128-bit
+fingerprint of their first 400 bytes, and positions are compared within groups.
 
 Of all suffixes only those can have a match whose anchor, the 128-byte string of smallest
 hash within their 400 bytes, occurs twice; equal strings have equal anchors. Anchors change
@@ -271,7 +271,7 @@ def cut(body: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
 
 
 def repeated_bytes(docs: DataFrame, keep: str = "none", with_bytes: bool = False) -> DataFrame:
-    """Per document what goes: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_bytes).
+    """Per document what goes: doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (and kept_bytes).
 
     ``keep="none"`` removes every byte that a string of 400 bytes covers which also starts
     elsewhere, in the same document or another, at overlapping places too; ``keep="first"``
@@ -338,5 +338,5 @@ def repeated_bytes(docs: DataFrame, keep: str = "none", with_bytes: bool = False
     else:
         same = placed.filter(~copied & F.col("some").isNull()).withColumn("body", F.lit(b""))
     same = same.select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"), F.col("body").alias("kept_bytes"))
-    result = gone.unionByName(changed).unionByName(same)
+    result = gone.unionByName(changed).unionByName(same).withColumn("removed", F.col("n_removed") > 0)
     return result if with_bytes else result.drop("kept_bytes")

@@ -40,6 +40,12 @@ def test_exact_of_nothing_and_of_null_ids(spark, docs):
     assert exact_dedup.exact_duplicates(docs.limit(0)).count() == 0
     odd = spark.createDataFrame([(None, "a"), (None, "a"), (7, "a"), (7, "a")], "doc_id long, text string")
     assert {(r["doc_id"], r["keep_id"], r["group_size"]) for r in exact_dedup.exact_duplicates(odd).collect()} == {(None, 7, 4), (7, 7, 4)}
+    least = -(2**63)
+    odd = spark.createDataFrame([(least, "a"), (5, "a"), (None, "b"), (None, "a")], "doc_id long, text string")
+    assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in exact_dedup.exact_duplicates(odd).collect()} == {
+        (least, least, True), (5, least, False), (None, None, True), (None, least, False),
+    }
+    assert sorted((r["text"], r["doc_id"]) for r in exact_dedup.drop_exact_duplicates(odd).collect()) == [("a", least), ("b", None)]
 
 
 def test_near(docs, rows):

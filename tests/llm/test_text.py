@@ -30,16 +30,18 @@ def test_contained_items(spark, docs, rows):
     ]
     want = set()
     for k, t in items:
-        item = shingles(t)
+        width = min(5, len((t or "").split())) or 5
+        item = shingles(t, width)
         for i, text, _ in rows:
-            shared = len(item & shingles(text))
+            shared = len(item & shingles(text, width)) if len((text or "").split()) >= width else 0
             if item and 100 * shared >= 75 * len(item):
                 want.add((k, i, len(item), shared))
     table = spark.createDataFrame(items, "item_id long, text string")
     for block in (20_000, 2):
         assert {tuple(r) for r in decontamination.contained_items(docs, table, block).collect()} == want
-    left = decontamination.drop_contaminated(docs, table)
-    assert left.columns == docs.columns
+    left = decontamination.drop_contaminated(docs.withColumns({"row_key": decontamination.F.lit("x"), "key_of_row": decontamination.F.lit("y")}), table)
+    assert left.columns == [*docs.columns, "row_key", "key_of_row"]
+    assert left.filter("row_key <> 'x' OR key_of_row <> 'y'").count() == 0
     assert {r["doc_id"] for r in left.collect()} == {i for i, _, _ in rows} - {w[1] for w in want}
     assert decontamination.contained_items(docs.limit(0), table).count() == 0
     assert decontamination.contained_items(docs, table.limit(0)).count() == 0
