@@ -50,6 +50,8 @@ _CLASS[np.arange(ord("A"), ord("Z") + 1)] = np.arange(1, 27)
 _CLASS[128:] = OTHER
 
 _DECORATION = re.compile(r"^[^\w$@!|+(€£]+|[^\w$@!|+€£]+$|(?<=\w)([^\w\s])\1+$")
+#: Marks after a word that are decoration whatever stands before them.
+_TRAILING = b".,;:?"
 _TRIPLE = re.compile(r"(.)\1\1")
 #: Characters of the tokens that may be letters or chunks of a word set apart.
 CHUNK = 5
@@ -205,12 +207,20 @@ class Words(dict):
         super().__init__()
         self.model, self.use, self.most = model, use, most
         self.beginnings = None if features is None else Beginnings(features, most)
+        #: First three letters of the features of interest.
+        self.starts = None if features is None else {f[1:4].encode("utf-8", "surrogatepass") for f in features}
         self.chunks: dict[str, tuple] = {}
         self.junctions: dict[str, bool] = {}
 
     def __missing__(self, word: bytes):
         if len(self) >= self.most:
             self.clear()
+        if self.starts is not None:
+            # A plain word keeps its first letters, whatever repeats after them.
+            letters = word.rstrip(_TRAILING)
+            if len(letters) > 2 and letters.isalpha() and letters[0] != letters[1] != letters[2] and letters[:3] not in self.starts:
+                self[word] = ()
+                return ()
         plain = _DECORATION.sub("", word.decode("utf-8", "surrogatepass").lower())
         value = self[word] = self.use(restore(plain, self.model) if disguised(plain) else plain)
         return value
