@@ -269,6 +269,61 @@ def test_alike_lines_of_every_length_meet(spark, script):
     assert sum(found[i] != i // 2 * 2 for i in range(len(lines))) <= 1
 
 
+def test_line_sizes_and_unions_are_exact():
+    from delayscope.llm import line_signatures
+
+    rng = random.Random(4)
+    lines = ["a", "ab", "abcde", "aaaaaaaaaaaa", "x" * 3000, "caf\u00e9 \U0001f600 ok", *(" ".join(words(rng, n)) for n in (1, 2, 3, 40, 400))]
+    lines += [line + "s" for line in lines]
+    sets = [{line[i : i + 5] for i in range(max(1, len(line) - 4))} for line in lines]
+    sizes, minima = line_signatures.signatures(lines)
+    assert sizes.tolist() == [len(s) for s in sets]
+    assert line_signatures.band_keys(minima).shape == (line_signatures.BANDS, len(lines))
+    pairs = [(i, j) for i in range(len(lines)) for j in range(len(lines))][:480]
+    found = line_signatures.union_sizes([lines[i] for i, _ in pairs], [lines[j] for _, j in pairs])
+    assert found.tolist() == [len(sets[i] | sets[j]) for i, j in pairs]
+    assert sorted(i for block in line_signatures.blocks(lines * 100) for i in block) == list(range(len(lines) * 100))
+
+
+@pytest.mark.parametrize("held", [1 << 20, 200])
+def test_buckets_of_any_size_in_bounded_memory(held):
+    """Buckets of 1, 2, 3, 10 and 700 members, which come piece by piece and repeatedly."""
+    import numpy as np
+
+    from delayscope.llm import line_signatures
+
+    rng = random.Random(5)
+    members = {key: set(range(n)) for key, n in enumerate([1, 2, 3, 10, 700] * 20)}
+    entries = [(k, i) for k, m in members.items() for i in m] * 2
+    rng.shuffle(entries)
+    buckets = line_signatures.Buckets(most=10, held=held)
+    large, least = set(), []
+    for at in range(0, len(entries), 97):
+        k, i = zip(*entries[at : at + 97])
+        for keys, ids in buckets.add(np.array(k, np.uint64), np.array(i, np.int64)):
+            large |= set(zip(keys.tolist(), ids.tolist()))
+            least.append(buckets.held)
+    (keys, ids), (sizes, small) = buckets.finish()
+    large |= set(zip(keys.tolist(), ids.tolist()))
+    assert large == {(k, i) for k, m in members.items() if len(m) > 10 for i in m}
+    lists = np.split(small, np.cumsum(sizes)[:-1])
+    assert sorted(map(list, lists)) == sorted(sorted(m) for m in members.values() if 1 < len(m) <= 10)
+    assert all(n <= 10 * len(members) for n in least)
+
+
+def test_a_hot_bucket_leaves_by_itself():
+    import numpy as np
+
+    keys = np.array([7] * 50 + [8, 8, 9], np.uint64)
+    ids = np.concatenate([np.arange(50), [1, 1, 2]]).astype(np.int64)
+    rows = line_dedup._packed(keys, ids, 4, 10).to_pylist()
+    hot = [r for r in rows if r["part"] >= 4]
+    assert sorted(i for r in hot for i in np.frombuffer(r["ids"], np.int64)) == list(range(50)) and len(hot) == 4
+    told = [r for r in rows if r["large"]]
+    assert [np.frombuffer(r["large"], np.uint64).tolist() for r in told] == [[7]] and told[0]["part"] == 7 % 4
+    assert sum(len(r["keys"]) // 8 for r in rows if r["part"] < 4) == 2
+
+
 @pytest.mark.parametrize("hot", [1024, 1])
 def test_substrings(docs, rows, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "HOT_PLACES", hot)
