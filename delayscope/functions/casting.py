@@ -18,13 +18,21 @@ def clean_text(value: Column | str) -> Column:
 
 
 def number(value: Column | str) -> Column:
-    """Text as double; blank or unparsable text, and NaN, become NULL."""
-    text = F.trim(as_column(value).cast("string"), F.lit(_BLANKS))
+    """Text as double; blank or unparsable text, and NaN, become NULL.
+
+    The steps are functions over an array of one element, which names what they share. Spark
+    keeps these out of the one method it generates per stage: written out for a dozen columns
+    that method passes 8,000 bytes, from where on the JVM interprets it and never compiles it.
+    """
+    text = F.array(F.trim(as_column(value).cast("string"), F.lit(_BLANKS)))
+
     # The JVM parser accepts a trailing type letter ("10d") and hexadecimal floats
     # ("0x1p3"); those are not numbers here.
-    plain = F.when(~F.substring(text, -1, 1).isin("d", "D", "f", "F") & (F.instr(F.lower(text), "x") == 0), text)
-    parsed = plain.try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    def parsed(t: Column) -> Column:
+        plain = ~F.substring(t, -1, 1).isin("d", "D", "f", "F") & (F.instr(F.lower(t), "x") == 0)
+        return F.when(plain, t).try_cast("double")
+
+    return F.get(F.filter(F.transform(text, parsed), lambda v: ~F.isnan(v)), F.lit(0))
 
 
 def whole(value: Column | str) -> Column:
