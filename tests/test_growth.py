@@ -28,3 +28,33 @@ def test_conversions_of_many_columns_are_compiled(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/text")
     assert largest_method(sources.convert_by_name(stored)) < HUGE
     assert largest_method(sources.convert_raw(stored)) < HUGE
+
+
+@pytest.fixture
+def three_files(spark, tmp_path, small):
+    """The small line items as three files, so that a scan has three tasks."""
+    spark.read.parquet(f"{small}/lineitem.parquet").repartition(3).write.parquet(f"{tmp_path}/in/lineitem.parquet")
+    return f"{tmp_path}/in"
+
+
+@pytest.fixture
+def rows_of_view(spark, monkeypatch):
+    """Counts the rows that the view of raw flights gives out, over all passes."""
+    seen, view = spark.sparkContext.accumulator(0), inputs.raw_flights
+
+    def counted(spark, sf):
+        def pass_on(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        raw = view(spark, sf)
+        return raw.mapInArrow(pass_on, raw.schema)
+
+    monkeypatch.setattr(inputs, "raw_flights", counted)
+    return seen
+
+
+def test_files_of_several_layouts_take_one_pass(spark, three_files, rows_of_view):
+    rows = REGISTRY["csv_by_name_mixed"](spark, three_files).count()
+    assert rows_of_view.value == rows == spark.read.parquet(f"{three_files}/lineitem.parquet").count()

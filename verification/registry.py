@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from delayscope.functions import bad_minutes, hour_of, number, number_or_zero, thousands, whole, whole_or_zero
 from delayscope.operators import carriers, compare, digest, feeds, hourly, monthly, night, quality, running_quality, timings
 from delayscope.operators.cleaning import clean_flights
-from delayscope.schema import HOURLY_KEYS, PROCESSED_COLUMNS
+from delayscope.schema import HOURLY_KEYS, PROCESSED_COLUMNS, RAW_SCHEMA
 from delayscope.sinks import files as sinks
 from delayscope.sinks import upserts, versions
 from delayscope.sinks.scratch import scratch_path
@@ -32,6 +32,17 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _dealt(spark, sf, parts: int) -> Callable[[Sequence[int]], DataFrame]:
+    """Raw flights dealt into parts by the hash of a row, and stored: gives the rows of some parts.
+
+    The view is worked out once, whatever the number of parts, and a part is a plain filter.
+    """
+    raw, path = inputs.raw_flights(spark, sf), scratch_path(spark, "dealt")
+    raw.withColumn("_part", F.pmod(F.xxhash64(*raw.columns), F.lit(parts))).write.parquet(path)
+    stored = spark.read.parquet(path)
+    return lambda ks: stored.where(F.col("_part").isin(list(ks))).drop("_part")
+
+
 # --- sources and sinks ----------------------------------------------------------------
 
 
@@ -131,11 +142,10 @@ def csv_one_file(spark, sf):
 def csv_by_name_mixed(spark, sf):
     """Files of three column orders, one with a column more, in one folder."""
     path = scratch_path(spark, "by-name-mixed")
-    raw = inputs.raw_flights(spark, sf)
-    part = F.pmod(F.xxhash64(*raw.columns), F.lit(3))
-    shapes = [list(raw.columns), list(reversed(raw.columns)), [F.lit("x").alias("EXTRA"), *sorted(raw.columns)]]
+    rows, names = _dealt(spark, sf, 3), RAW_SCHEMA.fieldNames()
+    shapes = [names, list(reversed(names)), [F.lit("x").alias("EXTRA"), *sorted(names)]]
     for k, shape in enumerate(shapes):
-        raw.where(part == k).select(*shape).write.mode("append").option("header", True).csv(path)
+        rows([k]).select(*shape).write.mode("append").option("header", True).csv(path)
     return sources.read_by_name(spark, path).select(*PROCESSED_COLUMNS)
 
 
