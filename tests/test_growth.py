@@ -8,7 +8,7 @@ import pytest
 
 from delayscope.schema import RAW_SCHEMA
 from delayscope.sources import files as sources
-from verification import inputs
+from verification import inputs, registry
 from verification.registry import REGISTRY
 
 #: Bytes of a method from where on the JVM interprets it.
@@ -58,3 +58,25 @@ def rows_of_view(spark, monkeypatch):
 def test_files_of_several_layouts_take_one_pass(spark, three_files, rows_of_view):
     rows = REGISTRY["csv_by_name_mixed"](spark, three_files).count()
     assert rows_of_view.value == rows == spark.read.parquet(f"{three_files}/lineitem.parquet").count()
+
+
+def test_drops_are_written_by_many_tasks_and_taken_when_all_are_there(spark, three_files, rows_of_view, monkeypatch):
+    taken, ingest = [], registry.ingest_when_quiet
+
+    def watched(spark, notes, table, done, **limits):
+        ingest(spark, notes, table, done, **limits)
+        (folder,) = {r["folder"] for r in spark.read.json(notes).collect()}
+        files, rows = sources.landed_files(spark, folder).count(), spark.read.schema(RAW_SCHEMA).option("header", True).csv(folder).count()
+        polls = {r["round"]: r["files"] for r in spark.read.json(notes).collect()}
+        taken.append((files, rows, polls, limits))
+
+    monkeypatch.setattr(registry, "ingest_when_quiet", watched)
+    spark.conf.set("spark.sql.files.openCostInBytes", 128 << 20)  # a stored file is a task
+    try:
+        out = REGISTRY["ingest_when_complete"](spark, three_files).count()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    ((files, rows, polls, limits),) = taken
+    assert files > 4 and rows == rows_of_view.value == spark.read.parquet(f"{three_files}/lineitem.parquet").count()
+    assert limits["least_files"] == files and [polls[n] for n in (0, 4, 8)] == sorted({polls[0], polls[4], files})
+    assert out == inputs.flights(spark, three_files).count()

@@ -115,18 +115,20 @@ def ingest_incremental(spark, sf):
 
 @query
 def ingest_when_complete(spark, sf):
-    """Files land in three drops; rows are taken in only when four are there and three rounds were quiet."""
+    """Files land in three drops; rows are taken in only when all are there, four at least, and three rounds were quiet.
+
+    A part of a drop is as many files as tasks write it, one on a small table.
+    """
     landing, notes, table, done = (scratch_path(spark, part) for part in ("landing", "notes", "table", "progress"))
-    raw = inputs.raw_flights(spark, sf)
-    part = F.pmod(F.xxhash64(*raw.columns), F.lit(4))
+    rows = _dealt(spark, sf, 4)
     number = 0
     for drop in ([0, 1], [2], [3]):
         for k in drop:
-            raw.where(part == k).coalesce(1).write.mode("append").option("header", True).csv(landing)
+            rows([k]).write.mode("append").option("header", True).csv(landing)
         for _ in range(4):
             poll_landing(spark, landing, notes, number)
             number += 1
-    ingest_when_quiet(spark, notes, table, done)
+    ingest_when_quiet(spark, notes, table, done, least_files=sources.require_landed(spark, landing))
     return sources.read_processed(spark, table)
 
 
