@@ -60,6 +60,11 @@ def test_files_of_several_layouts_take_one_pass(spark, three_files, rows_of_view
     assert rows_of_view.value == rows == spark.read.parquet(f"{three_files}/lineitem.parquet").count()
 
 
+def test_increments_of_the_running_profile_take_one_pass(spark, three_files, rows_of_view):
+    assert REGISTRY["dq_running"](spark, three_files).count() > 0
+    assert rows_of_view.value == spark.read.parquet(f"{three_files}/lineitem.parquet").count()
+
+
 def test_drops_are_written_by_many_tasks_and_taken_when_all_are_there(spark, three_files, rows_of_view, monkeypatch):
     taken, ingest = [], registry.ingest_when_quiet
 

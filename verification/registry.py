@@ -393,8 +393,7 @@ def dq_profile(spark, sf):
 def dq_running(spark, sf):
     """The profile from states per file, after two increments and a file that was replaced."""
     landing, root = scratch_path(spark, "quality-landing"), scratch_path(spark, "quality-states")
-    raw = inputs.raw_flights(spark, sf)
-    part = F.pmod(F.xxhash64(*raw.columns), F.lit(3))
+    rows = _dealt(spark, sf, 3)
 
     def land(k, rows):
         sinks.write_csv(rows, f"{landing}/{k}", single_file=True)
@@ -404,11 +403,11 @@ def dq_running(spark, sf):
             spark, sources.landed_files(spark, landing), lambda paths: sources.read_raw(spark, paths), root
         )
 
-    land(0, raw.where(part == 0))
-    land(1, raw.where(part < 2))
+    land(0, rows([0]))
+    land(1, rows([0, 1]))
     update()
-    land(1, raw.where(part == 1))
-    land(2, raw.where(part == 2))
+    land(1, rows([1]))
+    land(2, rows([2]))
     update()
     return running_quality.profile_of(running_quality.states_at(spark, root))
 
