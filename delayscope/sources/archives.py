@@ -47,6 +47,9 @@ def records(lines: Iterable[bytes]) -> Iterator[str]:
     held: list[str] = []
     quotes = 0
     for line in lines:
+        if not held and b'"' not in line:
+            yield line.decode("utf-8", "replace").rstrip("\r\n")
+            continue
         text = line.decode("utf-8", "replace").rstrip("\r\n") if not held else line.decode("utf-8", "replace").rstrip("\n")
         held.append(text)
         quotes += text.count('"')
@@ -83,28 +86,34 @@ def archive_lines(spark: SparkSession, path: str | Sequence[str], name_pattern:
         import pyarrow as pa
 
         keep = re.compile(member_pattern)
-        rows = ((a, p) for batch in batches for a, p in zip(batch.column(0).to_pylist(), batch.column(3)))
 
-        def batch_of(found):
-            names = ("archive", "member", "line_no", "line")
+        def joined(batches):
+            # The lines of an archive in a batch are one piece: a step per line would cost most of the time.
+            for batch in batches:
+                values, at = batch.column(3).to_pylist(), 0
+                for archive, own in itertools.groupby(batch.column(0).to_pylist()):
+                    end = at + sum(1 for _ in own)
+                    yield archive, b"\n".join(values[at:end])
+                    at = end
+
+        def batch_of(archive, member, first, found):
+            size = len(found)
+            columns = ([archive] * size, [member] * size, range(first, first + size), found)
             kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
-            return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=list(names))
+            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["archive", "member", "line_no", "line"])
 
-        for archive, own in itertools.groupby(rows, key=lambda row: row[0]):
-            stream = Pieces(lambda own=own: next((p.as_py() for _, p in own), None))
+        for archive, own in itertools.groupby(joined(batches), key=lambda row: row[0]):
+            stream = Pieces(lambda own=own: next((p for _, p in own), None))
             with tarfile.open(fileobj=stream, mode="r|") as packed:
                 for entry in packed:
                     name = posixpath.basename(entry.name)
                     if not entry.isfile() or not keep.match(name) or entry.size == 0:
                         continue
-                    found = []
-                    for n, line in enumerate(r for r in records(packed.extractfile(entry)) if r.strip()):
-                        found.append((archive, name, n, line))
-                        if len(found) == LINES:
-                            yield batch_of(found)
-                            found = []
-                    if found:
-                        yield batch_of(found)
+                    filled = (r for r in records(packed.extractfile(entry)) if r.strip())
+                    first = 0
+                    while found := list(itertools.islice(filled, LINES)):
+                        yield batch_of(archive, name, first, found)
+                        first += len(found)
             for _ in own:  # what follows the end of the archive
                 pass
 

@@ -3,7 +3,9 @@
 import contextlib
 import io
 import re
+import tarfile
 
+import pandas as pd
 import pytest
 
 from delayscope.schema import RAW_SCHEMA
@@ -85,3 +87,11 @@ def test_drops_are_written_by_many_tasks_and_taken_when_all_are_there(spark, thr
     assert files > 4 and rows == rows_of_view.value == spark.read.parquet(f"{three_files}/lineitem.parquet").count()
     assert limits["least_files"] == files and [polls[n] for n in (0, 4, 8)] == sorted({polls[0], polls[4], files})
     assert out == inputs.flights(spark, three_files).count()
+
+
+def test_packed_lines_are_the_lines_spark_wrote():
+    lines = [",".join([str(k)] + [""] * (len(RAW_SCHEMA) - 1)) for k in range(700)]
+    stream = b"".join(v.encode() + b"\n" for f in registry._tar_rows([pd.DataFrame({"line": lines})]) for v in f["value"])
+    with tarfile.open(fileobj=io.BytesIO(stream)) as packed:
+        content = packed.extractfile("data/flights_0.csv").read().decode()
+    assert content == "\n".join([",".join(RAW_SCHEMA.fieldNames()), *lines, ""])

@@ -70,7 +70,7 @@ def result_readback(spark, sf):
 
 
 def _tar_rows(batches):
-    """Every batch as a CSV member of a tar stream, beside files to ignore.
+    """Every batch of CSV lines as a member of a tar stream, beside files to ignore.
 
     A row is a header block, the content and its padding less one byte: the line feed that the
     text writer adds completes the block.
@@ -89,7 +89,7 @@ def _tar_rows(batches):
         return (entry.tobuf(tarfile.USTAR_FORMAT) + content + padding).decode()
 
     for i, batch in enumerate(batches):
-        data = batch.to_csv(index=False).encode()
+        data = "\n".join([",".join(RAW_SCHEMA.fieldNames()), *batch["line"], ""]).encode()
         names = {f"data/flights_{i}.csv": data, f"data/.flights_{i}.csv": data, f"data/notes_{i}.txt": b"no table"}
         yield pd.DataFrame({"value": [member(n, c) for n, c in names.items()]})
     yield pd.DataFrame({"value": ["\0" * 1023]})
@@ -99,9 +99,9 @@ def _tar_rows(batches):
 def ingest_filter(spark, sf):
     """Flights packed into compressed archives beside files to ignore, streamed out and cleaned."""
     raw = inputs.raw_flights(spark, sf)
-    texts = raw.selectExpr(*(f"cast({c} AS string) AS {c}" for c in raw.columns))
+    lines = raw.select(F.to_csv(F.struct(*raw.columns)).alias("line"))
     path = scratch_path(spark, "archives")
-    texts.mapInPandas(_tar_rows, "value string").write.option("compression", "gzip").text(path)
+    lines.mapInPandas(_tar_rows, "value string").write.option("compression", "gzip").text(path)
     return clean_flights(sources.convert_raw(read_archives(spark, path, name_pattern="*.gz")))
 
 
