@@ -8,8 +8,10 @@ import tarfile
 import pandas as pd
 import pytest
 
+from delayscope.operators import hourly, percentiles
 from delayscope.schema import RAW_SCHEMA
 from delayscope.sources import files as sources
+from tests import helpers
 from verification import inputs, registry
 from verification.registry import REGISTRY
 
@@ -95,3 +97,13 @@ def test_packed_lines_are_the_lines_spark_wrote():
     with tarfile.open(fileobj=io.BytesIO(stream)) as packed:
         content = packed.extractfile("data/flights_0.csv").read().decode()
     assert content == "\n".join([",".join(RAW_SCHEMA.fieldNames()), *lines, ""])
+
+
+def test_approximate_ranks_keep_their_bound_in_groups_of_few_flights(spark):
+    delays = [float(d) for d in range(1, 100)]
+    flown = helpers.flights(spark, [{"DEP_DELAY": d} for d in delays]).coalesce(1)
+    shares = [k / 100 for k in range(5, 100, 5)]
+    (found,) = helpers.dicts(hourly.hourly_percentiles_approx(flown, probabilities=shares, accuracy=100))
+    got = {p: found[percentiles.percentile_name(p)] for p in shares}
+    # One rank of 99 is more than one part in 100.
+    assert got == {p: float(-(-round(p * 100) * 99 // 100)) for p in shares}
