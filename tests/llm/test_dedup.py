@@ -152,6 +152,27 @@ def test_pairs_of_a_bucket_of_unlike_members_grow_in_proportion(spark):
     assert all(checked[n] <= 2 * n for n in checked), checked
 
 
+def test_pairs_within_families_grow_in_proportion(spark):
+    """What tells the members of one family apart is common in others; members share half of their elements."""
+    from pyspark.sql import functions as F
+
+    families, members = 30, 20
+    shared = shared_buckets(spark.range(families * members).select((F.col("id") % families).alias("key"), "id"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def verify(pairs):
+        seen.add(pairs.count())
+        return pairs.filter("false")
+
+    def elements(ids):
+        core = F.transform(F.sequence(F.lit(1), F.lit(70)), lambda k: (F.col("id") % families) * 1000 + k)
+        own = F.transform(F.sequence(F.lit(1), F.lit(30)), lambda k: -F.floor(F.col("id") / families) * 100 - k)
+        return ids.select("id", F.lit(0).alias("kind"), F.explode(F.concat(core, own)).alias("element"))
+
+    assert link(*candidate_pairs(shared), verify, elements, 75).count() == 0
+    assert seen.value <= 2 * families * members, seen.value
+
+
 def test_prefix_pairs_leave_no_alike_pair_out(spark):
     rng = random.Random(4)
     sets = {}
