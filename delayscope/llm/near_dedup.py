@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from delayscope.llm import bloom
-from delayscope.llm.common import discard, stored, unused
+from delayscope.llm.common import discard, few_rows, stored, unused
 from delayscope.llm.linking import candidate_pairs, link, shared_buckets
 from delayscope.llm.shingles import WORDS, WordHashes, mix, shingle_set, words_of
 
@@ -91,7 +91,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in few_rows(batches):
             sets = [shingle_set(words_of(t), hashes) for t in batch.column(2).to_pylist()]
             registers: list[bytes | None] = [None] * len(sets)
             block: list[int] = []
@@ -122,7 +122,7 @@ def shingle_table(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in few_rows(batches):
             sets = [shingle_set(words_of(t), hashes).view(np.int64) for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "elements"])
 

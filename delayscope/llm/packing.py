@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from delayscope.llm.common import stored
+from delayscope.llm.common import few_rows, stored
 
 WINDOW = 2048
 #: Id that ends every document: fixed by the contract.
@@ -162,7 +162,7 @@ def pack(docs: DataFrame, ranks_path: str) -> DataFrame:
             held = 0
             return pa.record_batch([pa.array(columns[c], kinds.get(c, pa.int64())) for c in _NAMES], names=list(_NAMES))
 
-        for batch in batches:
+        for batch in few_rows(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 body = encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=()) if text else ()
                 one = np.empty(len(body) + 1, np.uint32)

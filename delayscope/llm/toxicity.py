@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delayscope.llm.common import WHITE, discard, stored
+from delayscope.llm.common import WHITE, discard, few_rows, stored
 
 #: Labelled rows the model is fitted on at most: those of the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
@@ -347,7 +347,7 @@ def character_model(docs: DataFrame) -> CharacterModel:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES**3, np.int64)
-        for batch in batches:
+        for batch in few_rows(batches):
             total += trigram_counts(t for t in batch.column(0).to_pylist() if t)
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(found, pa.int32()), pa.array(total[found], pa.int64())], names=["code", "n"])
@@ -379,7 +379,7 @@ def train(docs: DataFrame, labels: DataFrame, language: CharacterModel, rows: in
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Words(language, features_of)
         seen = (Counter(), Counter())
-        for batch in batches:
+        for batch in few_rows(batches):
             for label, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 seen[label != 0].update(held_by(text, features))
         names = list(seen[0].keys() | seen[1].keys())
@@ -405,7 +405,7 @@ def train(docs: DataFrame, labels: DataFrame, language: CharacterModel, rows: in
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(language, draft.known, features=draft.index)
-        for batch in batches:
+        for batch in few_rows(batches):
             found = [present(t, known) for t in batch.column(2).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "label", "found"])
 
@@ -432,7 +432,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(language, model.known, features=model.index)
-        for batch in batches:
+        for batch in few_rows(batches):
             z = np.array([model.weights[present(t, known)].sum() + model.bias for t in batch.column(2).to_pylist()], float)
             yield pa.record_batch([
                 batch.column(0), batch.column(1), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64()),

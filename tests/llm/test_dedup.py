@@ -332,6 +332,36 @@ def test_buckets_of_any_size_in_bounded_memory(held):
     assert all(n <= 10 * len(members) for n in least)
 
 
+def test_buckets_take_a_few_times_the_memory_of_their_entries():
+    import tracemalloc
+
+    import numpy as np
+
+    from delayscope.llm import line_signatures
+
+    rng = np.random.default_rng(7)
+    n = 1 << 17
+    tracemalloc.start()
+    buckets = line_signatures.Buckets(most=10)
+    for _ in range(n // 1024):
+        list(buckets.add(rng.integers(0, 1 << 62, 1024).astype(np.uint64), rng.integers(0, 1 << 62, 1024)))
+    buckets.finish()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak <= 4 * 16 * n, peak / n
+
+
+def test_batches_are_taken_a_few_rows_at_a_time():
+    import pyarrow as pa
+
+    from delayscope.llm.common import few_rows
+
+    batches = [pa.record_batch([list(range(k))], names=["x"]) for k in (0, 1, 600)]
+    found = list(few_rows(iter(batches), 256))
+    assert [b.num_rows for b in found] == [1, 256, 256, 88]
+    assert [x for b in found for x in b.column(0).to_pylist()] == [0, *range(600)]
+
+
 def test_a_hot_bucket_leaves_by_itself():
     import numpy as np
 
