@@ -351,6 +351,17 @@ def test_buckets_take_a_few_times_the_memory_of_their_entries():
     assert peak <= 4 * 16 * n, peak / n
 
 
+def test_a_task_gets_its_share_of_the_bucket_keys(spark):
+    """Keys are dealt evenly, none of the tasks takes several times the number it is asked to."""
+    from pyspark.sql import functions as F
+
+    lines = spark.range(1000).select(F.col("id").alias("node"), F.repeat(F.hex(F.xxhash64("id")), 3).alias("normal"))
+    found = line_dedup.shared_buckets(lines.unionByName(lines.withColumn("node", -F.col("node") - 1)), 2000, task_keys=1000)
+    buckets = found.withColumn("task", F.spark_partition_id())
+    sizes = [r["n"] for r in buckets.groupBy("task").agg(F.sum(F.size("ids")).alias("n")).collect()]
+    assert len(sizes) == 80 and sum(sizes) == 80000 and max(sizes) <= 1300, sizes
+
+
 def test_batches_are_taken_a_few_rows_at_a_time():
     import pyarrow as pa
 
