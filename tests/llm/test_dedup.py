@@ -173,6 +173,24 @@ def test_pairs_within_families_grow_in_proportion(spark):
     assert seen.value <= 2 * families * members, seen.value
 
 
+def test_a_family_in_many_buckets_meets_few_of_its_members(spark):
+    """Each of 40 buckets holds half of a family: the links are a few for each member, not one for each of its buckets."""
+    from pyspark.sql import functions as F
+
+    for n in (200, 800):
+        rows = spark.range(n).select("id", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("key")).filter(F.xxhash64("id", "key") % 2 == 0)
+        shared = shared_buckets(rows.select(F.col("key").cast("long"), "id"))
+        seen = []
+
+        def verify(pairs, seen=seen):
+            seen.append(pairs.count())
+            return pairs
+
+        found = link(*candidate_pairs(shared), verify, None, 75)
+        assert found.count() == n and found.select("component").distinct().count() == 1
+        assert seen[0] <= 8 * n, seen
+
+
 def test_prefix_pairs_leave_no_alike_pair_out(spark):
     rng = random.Random(4)
     sets = {}
