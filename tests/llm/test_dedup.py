@@ -207,6 +207,18 @@ def test_prefix_pairs_leave_no_alike_pair_out(spark):
             assert len(found) < 240 * 239 / 2 / 8
 
 
+def test_places_in_sets_take_no_join_by_id(spark, monkeypatch):
+    """A join of elements with their sets makes a row for each element of each large set."""
+    from delayscope.llm import linking
+
+    plans, real = [], linking.stored
+    monkeypatch.setattr(linking, "stored", lambda df, label: plans.append(df._jdf.queryExecution().analyzed().toString()) or real(df, label))
+    table = spark.createDataFrame([(i, i, 0, e) for i in range(4) for e in range(i, i + 20)], "id long, c long, kind int, element long")
+    assert prefix_pairs(table, 75).count() > 0
+    joins = [line for plan in plans for line in plan.splitlines() if "Join " in line]
+    assert joins and not [line for line in joins if "(id#" in line], joins
+
+
 def test_lines(docs, rows):
     want = line_components(rows)
     found = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in line_dedup.line_decisions(docs).collect()}
