@@ -426,6 +426,18 @@ def test_substrings(docs, rows, hot, monkeypatch):
         assert bytes(r["kept_bytes"]) == left and r["kept_sha256"] == hashlib.sha256(left).hexdigest()
 
 
+def test_substrings_keep_no_table_longer_than_needed(spark, docs):
+    import os
+
+    from delayscope.sinks.scratch import scratch_path
+
+    folder = os.path.dirname(scratch_path(spark, "x")).removeprefix("file://")
+    before = set(os.listdir(folder))
+    assert substring_dedup.repeated_bytes(docs).count() == docs.count()
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert left == {"texts-with-copies", "spans", "partly"}
+
+
 def test_substrings_keep_the_first_copy(spark):
     passage = "".join(random.Random(1).choices("abcdefgh ", k=900))
     docs = frame(spark, [(1, f"AAAA {passage} BBBB", "en"), (2, f"CCCC {passage} DDDD", "en"), (3, None, "en")])
