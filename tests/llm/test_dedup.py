@@ -416,6 +416,69 @@ def test_a_hot_bucket_leaves_by_itself():
     assert sum(len(r["keys"]) // 8 for r in rows if r["part"] < 4) == 2
 
 
+def test_a_bucket_of_unlike_members_comes_apart():
+    """Long lines that met by chance give few pairs and no large bucket; near copies among them are one."""
+    import numpy as np
+
+    from delayscope.llm import line_signatures
+
+    rng = np.random.default_rng(6)
+    marks = rng.integers(0, 1 << 24, 300).astype(np.uint32) << np.uint32(8) | rng.integers(100, 130, 300).astype(np.uint32)
+    marks[200:240] = marks[200]
+    buckets = line_signatures.Buckets(most=1024)
+    assert not list(buckets.add(np.full(200, 7, np.uint64), np.arange(200), marks[:200]))
+    assert not list(buckets.add(np.full(100, 8, np.uint64), np.arange(200, 300), marks[200:]))
+    (keys, ids), (a, b) = buckets.finish_pairs()
+    assert len(np.unique(keys)) == 1 and set(range(200, 240)) <= set(ids.tolist()) and len(ids) < 50
+    assert 0 < len(a) < 0.06 * 200 * 199 / 2 and (a < b).all() and line_signatures.possible(marks[a], marks[b]).all()
+
+
+def test_bucket_keys_move_in_few_bytes():
+    import numpy as np
+    import pyarrow as pa
+
+    from delayscope.llm import line_signatures
+
+    rng = np.random.default_rng(8)
+    n, parts = 1 << 18, 50
+    keys, ids = rng.integers(0, 1 << line_signatures.KEY_BITS, n).astype(np.uint64), rng.integers(0, 1 << 62, n)
+    rows = line_dedup._short(line_dedup._packed(keys, ids, parts, 32, rng.integers(0, 1 << 32, n).astype(np.uint32)), parts).to_pylist()
+    moved = sum(pa.compress(r[c], "lz4_raw").size for r in rows for c in ("keys", "ids", "marks"))
+    assert moved <= 15.5 * n, moved / n
+    found = [line_dedup._whole_keys(pa.py_buffer(r["keys"]), len(r["ids"]) // 8, r["part"], parts) for r in rows]
+    assert np.array_equal(np.sort(np.concatenate(found)), np.sort(keys))
+    owner = dict(zip(ids.tolist(), keys.tolist()))
+    assert all(owner[i] == k for r, f in zip(rows, found) for i, k in zip(np.frombuffer(r["ids"], np.int64).tolist(), f.tolist()))
+
+
+def test_alike_lines_bear_alike_marks():
+    """Of the buckets that alike lines share, marks part them in few."""
+    import numpy as np
+
+    from delayscope.llm import line_signatures
+
+    rng = random.Random(10)
+    lines = [" ".join("".join(rng.choices("abcdefghijklmnoprst", k=rng.randint(2, 9))) for _ in range(1 + n % 60)) for n in range(240)]
+    changed = [mistyped(rng, line, "abcdefghijklmnoprst") for line in lines]
+    (sizes, minima), (sizes_b, minima_b) = line_signatures.signatures(lines), line_signatures.signatures(changed)
+    met = line_signatures.band_keys(minima) == line_signatures.band_keys(minima_b)
+    marks = line_signatures.possible(line_signatures.bucket_marks(sizes, minima), line_signatures.bucket_marks(sizes_b, minima_b))
+    assert met.sum() > 1000 and marks[met].mean() > 0.98
+    other = np.roll(line_signatures.bucket_marks(sizes_b, minima_b), 1, axis=1)
+    assert line_signatures.possible(line_signatures.bucket_marks(sizes, minima), other).mean() < 0.1
+
+
+def test_lines_are_put_in_lower_case_as_one_text(spark):
+    """As line by line: a sigma at the end of a line is a final one there."""
+    from pyspark.sql import functions as F
+
+    text = "\u039f\u0394\u039f\u03a3\n\u039f\u0394\u039f\u03a3\u0391 \u0130X\n\v Two Words\t\n \r\n\u1e9e\u00c4"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    whole = line_dedup.lines_of(docs, F.lower("text")).select("line_no", line_dedup.normal_form(F.col("line")).alias("n")).collect()
+    apart = line_dedup.lines_of(docs, F.col("text")).select("line_no", F.lower(F.btrim("line", F.lit(" \t\n\v\f\r"))).alias("n")).collect()
+    assert whole == apart and len(whole) == 5 and whole[2]["n"] == "two words" and whole[3]["n"] == ""
+
+
 @pytest.mark.parametrize("hot", [1024, 1])
 def test_substrings(docs, rows, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "HOT_PLACES", hot)
